@@ -159,7 +159,7 @@ def pack_documents(df: DataFrame, path: str, ranks_path: str, capacity: int = 20
     pieces = placed.mapInArrow(cut, f"id {kind}, place bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
     groups = max(1, math.ceil(df.count() / group_rows))
 
-    def pack(key, rows: pa.Table) -> pa.Table:
+    def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("place", "ascending"), ("start", "ascending")])
         sizes = rows["length"].to_numpy()
         bins, offsets = np.arange(len(sizes), dtype=np.int64), np.zeros(len(sizes), np.int64)
