@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import bpe, line_dedup, packing, secrets
+from verisift.llm import bpe, line_dedup, packing, pii, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
@@ -47,6 +51,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
+        "op4_pii": op4_pii,
         "op5_bpe": op5_bpe,
         "op6_line_dedup": op6_line_dedup,
         "op9_packing": op9_packing,

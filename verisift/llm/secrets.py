@@ -86,7 +86,7 @@ def ratio(string: Column, model: list[float]) -> Column:
     """The sum of log-likelihood ratios over a string's character pairs."""
     table = F.lit(model)
     size = len(ALPHABET)
-    codes = F.transform(F.split(string, "(?!^)"), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    codes = F.transform(F.split(string, r"(?!^)(?!\z)"), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     step = lambda a, c: F.struct((a["r"] + F.when(a["last"] >= 0, F.get(table, a["last"] * size + c)).otherwise(0.0)).alias("r"), c.alias("last"))
     start = F.struct(F.lit(0.0).alias("r"), F.lit(-1).alias("last"))
     return F.aggregate(codes, start, step)["r"]
@@ -105,7 +105,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_rati
     def random_like(m: Column) -> Column:
         s = m["found"]
         classes = s.rlike("[a-z]").cast("int") + s.rlike("[A-Z]").cast("int") + s.rlike("[0-9]").cast("int")
-        return (classes >= 2) & (F.size(F.array_distinct(F.split(s, "(?!^)"))) >= 8) & (ratio(s, model) >= min_ratio)
+        return (classes >= 2) & (F.size(F.array_distinct(F.split(s, r"(?!^)(?!\z)"))) >= 8) & (ratio(s, model) >= min_ratio)
 
     out = out.withColumn("_clear", spans.clear_of(F.col("_other"), F.col("base")))
     out = out.withColumn("spans", F.concat("base", spans.tagged(F.filter("_clear", random_like), 3)))
