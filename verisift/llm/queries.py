@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import bpe, line_dedup, packing, pii, quality, secrets
+from verisift.llm import bpe, line_dedup, metric_join, packing, pii, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op2_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.range_join(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "score", "keep")
 
@@ -55,6 +59,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
+        "op2_metric_join": op2_metric_join,
         "op3_quality": op3_quality,
         "op4_pii": op4_pii,
         "op5_bpe": op5_bpe,
