@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import bpe, line_dedup, metric_join, ngram_join, packing, pii, quality, secrets
+from verisift.llm import bpe, line_dedup, metric_join, neighbours, ngram_join, packing, pii, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 OP6_SQL = """
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 rows_ AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": op4_pii,
         "op5_bpe": op5_bpe,
         "op6_line_dedup": op6_line_dedup,
+        "op7_neighbours": op7_neighbours,
         "op9_packing": op9_packing,
         "op10_ngram_join": op10_ngram_join,
     }
