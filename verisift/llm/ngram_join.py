@@ -269,6 +269,10 @@ def join(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col
 
 def dedup(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the rows whose id is not the smallest of its class; of rows that repeat an id one stays. Rows with a null id stay."""
-    kept = scratch.stored(join(df, threshold, id_col, text_col).where(F.col(id_col) == F.col("class_id")).select(id_col).distinct(), "kept")
-    out = df.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return out.unionByName(df.where(F.col(id_col).isNull())).select(*df.columns)
+    kept = join(df, threshold, id_col, text_col).where(F.col(id_col) == F.col("class_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = scratch.stored(kept, "kept")
+    known = df.where(F.col(id_col).isNotNull())
+    once = known.join(kept.where("_rows = 1").select(id_col), id_col, "left_semi")
+    again = known.join(kept.where("_rows > 1").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
+    out = once.unionByName(again).unionByName(df.where(F.col(id_col).isNull()))
+    return out.select(*df.columns)

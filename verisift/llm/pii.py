@@ -114,7 +114,23 @@ def learn(found: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float =
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
     """id, text, base and spans: arrays of (start, rank, end), rank an index of KINDS; base ones come first in spans."""
-    keyed = df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id")).alias("_key"), F.col(text_col).alias("_body"))
+    found = _scan(df, F.col(id_col), text_col, min_seeds, min_confidence, rounds)
+    return found.select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), "base", "spans")
+
+
+def redact(df: DataFrame, text_col: str = "text", min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
+    """df with each span of its text replaced by [KIND]; a null text stays null."""
+    other = [c for c in df.columns if c != text_col]
+    kept = F.struct(F.col(text_col).isNull().alias("_null"), F.struct(*[F.col(f"`{c}`") for c in other], F.lit(1).alias("_one")).alias("_rest"))
+    found = _scan(df, kept, text_col, min_seeds, min_confidence, rounds)
+    clean = F.when(~F.col("_id._null"), spans.redacted(F.col("_text"), F.col("spans"), KINDS))
+    columns = {c: F.col(f"_id._rest.`{c}`") for c in other} | {text_col: clean}
+    return found.select(*[columns[c].alias(c) for c in df.columns])
+
+
+def _scan(df: DataFrame, key: Column, text_col: str, min_seeds: int, min_confidence: float, rounds: int) -> DataFrame:
+    """_id (key), _text, base, spans."""
+    keyed = df.select(F.struct(F.monotonically_increasing_id().alias("row"), key.alias("id")).alias("_key"), F.col(text_col).alias("_body"))
     found = spans.with_matches(base_entities(keyed, "_key", "_body"), "_other", "_text", INSTANCE)
     found = found.withColumn("_clear", spans.clear_of(F.col("_other"), F.col("base")))
     fresh = F.transform("_clear", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["found"].alias("found"), before(F.col("_text"), m["start"]).alias("pattern")))
@@ -127,7 +143,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_seed
     none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
     some = some.join(hits, "_row", "left").select("_id", "_text", "base", F.concat("base", F.coalesce("more", none)).alias("spans"))
     rest = found.where(F.size("fresh") == 0).select("_id", "_text", "base", F.col("base").alias("spans"))
-    return some.unionByName(rest).select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), "base", "spans")
+    return some.unionByName(rest)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

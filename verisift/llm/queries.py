@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import bpe, line_dedup, metric_join, neighbours, ngram_join, packing, pii, quality, secrets
+from verisift.llm import bpe, licenses, line_dedup, metric_join, neighbours, ngram_join, packing, pii, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"))
+    return licenses.scan(docs, "doc_id", "path")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": op5_bpe,
         "op6_line_dedup": op6_line_dedup,
         "op7_neighbours": op7_neighbours,
+        "op8_licenses": op8_licenses,
         "op9_packing": op9_packing,
         "op10_ngram_join": op10_ngram_join,
     }
