@@ -12,15 +12,16 @@ HOT_KEYS = 200
 HOT_LEAST = 1000
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataFrame | None = None, total: int | None = None) -> DataFrame:
     """left LEFT JOIN right on keys; right has at most one row for a key, keys are not null.
 
     Rows of hot keys stay where they are: right's rows for them, HOT_KEYS at most,
     are broadcast. The others are joined by shuffle. left should be a stored table,
-    it is read three times.
+    it is read three times. sizes (keys and _n, the rows of each key that right has)
+    and total spare counting left.
     """
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    least = max(HOT_LEAST, -(-left.count() // HOT_KEYS))
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes
+    least = max(HOT_LEAST, -(-(left.count() if total is None else total) // HOT_KEYS))
     hot = scratch.stored(counts.where(F.col("_n") >= least).select(*keys), "hot_keys")
     if not hot.head(1):
         return left.join(right, keys, "left")

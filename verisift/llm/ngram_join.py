@@ -39,8 +39,10 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-6
 MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64)
 MIX[1] |= np.uint64(1)
-#: Texts that surely hold no shingle columns beyond this are compared in slices of so many.
+#: Distinct shingles that a block pair multiplies at a time.
 COLUMNS = 4096
+#: Size of the filter that texts pass before they are sent, in 64-bit words, and its hash functions.
+FILTER_WORDS, FILTER_HASHES = 1 << 18, 2
 
 
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -182,15 +184,33 @@ def similar(sig_a, sets_a, sig_b, sets_b, threshold: float, triangle: bool) -> t
     return i[ok], j[ok]
 
 
-def _text_hash(df: DataFrame, text_col: str):
+def _text_hash(text_col: str) -> dict:
     return {"h1": F.xxhash64(text_col), "h2": F.xxhash64(F.lit(1), text_col)}
 
 
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over column h1: the more values, the more others pass it; none of its own fails."""
+    places = F.explode(F.array(*[F.shiftrightunsigned(F.xxhash64(F.lit(k), "h1"), 40) for k in range(FILTER_HASHES)]))
+    bits = hashes.select(places.alias("p")).select(F.pmod(F.shiftrightunsigned("p", 6), F.lit(FILTER_WORDS)).alias("word"), F.expr("shiftleft(1L, cast(p & 63 AS INT))").alias("bit"))
+    words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most FILTER_WORDS rows
+    out = np.zeros(FILTER_WORDS, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def passes(table: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+    ok = np.ones(len(places[0]), bool)
+    for p in places:
+        p = p.astype(np.uint64)
+        ok &= (table[(p >> np.uint64(6)).astype(np.int64) % FILTER_WORDS] >> (p & np.uint64(63))) & np.uint64(1) == 1
+    return ok
+
+
 def join(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_links, class_id (the smallest id that is reachable over links, itself included) for every row of df."""
     kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    docs = docs.withColumns(_text_hash(docs, "text"))
+    docs = docs.withColumns(_text_hash("text"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,62 +225,62 @@ def join(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col
     known = docs.select("id", "h1", "h2", "text").mapInArrow(keys, f"id {kind}, h1 bigint, h2 bigint, keys array<bigint>")
     known = scratch.stored(known, "band_keys")
     part = known.where(F.col("id").isNotNull() & (F.size("keys") > 0))
+    # equal texts are one class; rep numbers the stored classes
     classes = part.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
-    classes = scratch.stored(classes.select(F.struct("id", "h1").alias("rep"), "h1", "h2", "n", "keys"), "classes")
+    classes = scratch.stored(classes.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "id", "n", "keys"), "classes")
 
     # candidate components
     members = classes.select("rep", F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where(F.col("low") != F.col("high")).select("key", "low")
+    buckets = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("_n")).where(F.col("low") != F.col("high")).select("key", "low", "_n")
     buckets = scratch.stored(buckets, "buckets")
-    met = scratch.stored(members, "members")
-    edges = graphs.hot_join(met, buckets, ["key"]).where(F.col("low").isNotNull() & (F.col("low") != F.col("rep"))).select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    edges = graphs.hot_join(members, buckets.select("key", "low"), ["key"], buckets.select("key", "_n"), BANDS * classes.count()).where(F.col("low").isNotNull() & (F.col("low") != F.col("rep"))).select(F.col("rep").alias("a"), F.col("low").alias("b"))
     groups = scratch.stored(graphs.components(edges), "candidates")
     sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sent = graphs.hot_join(groups, sizes, ["root"]).withColumnRenamed("node", "rep").join(classes.select("rep", "n"), "rep")
-    sent = sent.select(F.col("rep.id").alias("id"), F.col("rep.h1").alias("h1"), "root", "blocks", "n", F.pmod(F.xxhash64("rep.h1"), F.col("blocks")).cast("int").alias("block"))
-    sent = scratch.stored(sent, "sent")
+    sent = graphs.hot_join(groups, sizes, ["root"]).withColumnRenamed("node", "rep").join(classes.select("rep", "h1", "h2", "n"), "rep")
+    sent = scratch.stored(sent.select("h1", "h2", "rep", "root", "blocks", "n", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")), "sent")
 
-    # one row of each representative's text joins its component
-    rows = docs.where(F.col("id").isNotNull()).join(sent, ["id", "h1"]).dropDuplicates(["id", "h1"])
+    # texts of candidate classes; a filter of fixed size keeps most others out of the shuffle
+    table = bit_filter(sent)
 
     def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in bpe.batch_slices(batch.column(0)):
-                part = batch.slice(lo, hi - lo)
-                value, offset = shingles(part.column(0))
+            batch = batch.filter(pa.array(passes(table, [batch.column(3 + k).to_numpy() for k in range(FILTER_HASHES)])))
+            for lo, hi in bpe.batch_slices(batch.column(2)):
+                rows = batch.slice(lo, hi - lo)
+                value, offset = shingles(rows.column(2))
                 sig = signatures(value, offset)
                 sets = [np.unique(value[offset[k] : offset[k + 1]]).tobytes() for k in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(sets, pa.binary())], [*names, "sig", "sets"])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(sets, pa.binary())], ["h1", "h2", "sig", "sets"])
 
-    names = ["id", "h1", "root", "blocks", "n", "block"]
-    root = f"root struct<id:{kind},h1:bigint>"
-    texts = rows.select("text", *names).mapInArrow(shred, f"id {kind}, h1 bigint, {root}, blocks int, n bigint, block int, sig binary, sets binary")
+    wanted = docs.where(F.col("id").isNotNull()).select("h1", "h2", "text", *[F.shiftrightunsigned(F.xxhash64(F.lit(k), "h1"), 40).alias(f"p{k}") for k in range(FILTER_HASHES)])
+    texts = wanted.mapInArrow(shred, "h1 bigint, h2 bigint, sig binary, sets binary")
+    texts = texts.groupBy("h1", "h2").agg(F.first(F.struct("sig", "sets")).alias("x")).join(sent, ["h1", "h2"])
     dealt = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(F.col("root.id").alias("root_id"), F.col("root.h1").alias("root_h1"), F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "id", "h1", "n", "block", "sig", "sets")
+    dealt = dealt.select("root", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "rep", "n", "block", "x.sig", "x.sets")
 
     def compare(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        first, second = key[2].as_py(), key[3].as_py()
-        part = part.sort_by([("id", "ascending"), ("h1", "ascending")])
+        first, second = key[1].as_py(), key[2].as_py()
+        part = part.sort_by("rep")
         sig = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint32).reshape(-1, HASHES)
         sets = [np.frombuffer(s, np.uint64) for s in part["sets"].to_pylist()]
-        block, n = part["block"].to_numpy(), part["n"].to_numpy()
+        block, n, rep = (part[c].to_numpy() for c in ("block", "n", "rep"))
         a, b = np.flatnonzero(block == first), np.flatnonzero(block == second)
         i, j = similar(sig[a], [sets[k] for k in a], sig[b], [sets[k] for k in b], threshold, first == second)
         i, j = a[i], b[j]
         links = np.bincount(i, weights=n[j], minlength=len(n)) + np.bincount(j, weights=n[i], minlength=len(n))
         low = star_edges(len(n), i, j)
-        at = pa.array(np.flatnonzero(links > 0))
-        to = pa.array(low[np.flatnonzero(links > 0)])
-        ids, h1 = part["id"].combine_chunks(), part["h1"].combine_chunks()
-        return pa.table({"id": ids.take(at), "h1": h1.take(at), "links": pa.array(links[links > 0].astype(np.int64)), "low_id": ids.take(to), "low_h1": h1.take(to)})
+        at = np.flatnonzero(links > 0)
+        return pa.table({"rep": rep[at], "links": links[at].astype(np.int64), "low": rep[low[at]]})
 
-    found = dealt.groupBy("root_id", "root_h1", "first", "second").applyInArrow(compare, f"id {kind}, h1 bigint, links bigint, low_id {kind}, low_h1 bigint")
+    found = dealt.groupBy("root", "first", "second").applyInArrow(compare, "rep bigint, links bigint, low bigint")
     found = scratch.stored(found, "links")
-    links = found.groupBy(F.struct("id", "h1").alias("rep")).agg(F.sum("links").alias("links"))
-    tied = found.select(F.struct("id", "h1").alias("a"), F.struct(F.col("low_id").alias("id"), F.col("low_h1").alias("h1")).alias("b"))
-    roots = graphs.components(tied).select(F.col("node").alias("rep"), F.col("root.id").alias("class_id"))
-    result = classes.select("rep", "h1", "h2", "n").join(links, "rep", "left").join(roots, "rep", "left")
-    result = result.select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("class_id", F.col("rep.id")).alias("class_id"))
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    roots = graphs.components(found.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep")
+    named = scratch.stored(roots.join(classes.select("rep", "id"), "rep"), "named")
+    lowest = named.groupBy("root").agg(F.min("id").alias("class_id"))
+    named = graphs.hot_join(named, lowest, ["root"]).select("rep", "class_id")
+    result = classes.select("rep", "h1", "h2", "id", "n").join(links, "rep", "left").join(named, "rep", "left")
+    result = result.select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "id").alias("class_id"))
     result = scratch.stored(result, "class_result")
     own = graphs.hot_join(part.select("id", "h1", "h2"), result, ["h1", "h2"]).select("id", "n_links", "class_id")
     rest = known.where(F.col("id").isNull() | (F.size("keys") == 0)).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("class_id"))
