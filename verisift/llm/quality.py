@@ -32,6 +32,8 @@ from verisift.llm import bpe, scratch
 
 #: Size of the hashed feature space; documents that the scorer is fitted on, at most about.
 DIMS, TRAIN_DOCS = 1024, 8000
+#: Text bytes that are measured together; the arrays take some thirty times as much.
+SLICE_BYTES = 4 << 20
 #: Statistics: words, and shares of the text or its words.
 STATS = ["n", "caps", "symbol", "distinct", "repeat", "length", "short", "stops", "bare"]
 #: Labellers: statistic, the range that votes good, the ranges beyond which it votes bad, words needed.
@@ -176,7 +178,7 @@ def train(df: DataFrame, text_col: str = "text", n_docs: int = TRAIN_DOCS) -> np
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in bpe.batch_slices(batch.column(0)):
+            for lo, hi in bpe.batch_slices(batch.column(0), SLICE_BYTES):
                 texts = batch.column(0).slice(lo, hi - lo)
                 stats, features = measure(texts)
                 codes = votes(stats) @ (3 ** np.arange(len(LABELLERS)))
@@ -209,7 +211,7 @@ def classify(df: DataFrame, text_col: str = "text", threshold: float = 0.5, weig
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in bpe.batch_slices(batch.column(names.index(text_col))):
+            for lo, hi in bpe.batch_slices(batch.column(names.index(text_col)), SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
                 stats, features = measure(part.column(names.index(text_col)))
                 p = 1 / (1 + np.exp(-np.clip(features @ weights[:-1] + weights[-1], -30, 30).astype(float)))
