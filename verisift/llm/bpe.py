@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes that one pass of the encoder takes together.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def byte_alphabet() -> dict[int, str]:
