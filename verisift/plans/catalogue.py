@@ -98,10 +98,10 @@ def dedup_lower_drop_empty(spark, sf_dir):
     return relational.first_wins(docs.where(T.normalize(F.col("text")) != ""), [key, "source"], ["doc_id"]).select("doc_id", "source")
 
 
-@query(f"SELECT doc_id FROM documents d WHERE doc_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM (SELECT {_NORM} AS k FROM documents WHERE doc_id % 2 = 1) o WHERE o.k = {O.normalize('d.text')})")
+@query(f"WITH k AS (SELECT doc_id, source, {_NORM} AS k FROM documents) SELECT doc_id FROM k WHERE k NOT IN (SELECT k FROM k WHERE source = 'src0')")
 def anti_join_normalized(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return relational.anti_join_normalized(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"), "text", "text", lower=True).select("doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return relational.anti_join_normalized(docs, docs.where("source = 'src0'"), "text", "text", lower=True).select("doc_id")
 
 
 @query(f"WITH r AS (SELECT DISTINCT sha256({_NORM}) AS k FROM benchmark) SELECT doc_id FROM documents WHERE sha256({_NORM}) NOT IN (SELECT k FROM r)")
@@ -110,11 +110,10 @@ def anti_join_hashed(spark, sf_dir):
     return relational.anti_join_normalized(docs, table(spark, sf_dir, "benchmark"), "text", "text", lower=True, hashed=True).select("doc_id")
 
 
-@query("SELECT source_path, count(*) AS n, count(lang) AS n_lang FROM (SELECT 'a' AS source_path, lang FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT 'b', lang FROM documents WHERE doc_id % 3 = 1 UNION ALL SELECT 'c', NULL FROM documents WHERE doc_id % 3 = 2) GROUP BY 1")
+@query("SELECT source_path, count(*) AS n, count(role) AS n_role FROM (SELECT 'documents' AS source_path, NULL AS role FROM documents UNION ALL SELECT 'benchmark', NULL FROM benchmark UNION ALL SELECT 'conversations', role FROM conversations) GROUP BY 1")
 def union_sources(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    parts = [("a", docs.where("doc_id % 3 = 0")), ("b", docs.where("doc_id % 3 = 1")), ("c", docs.where("doc_id % 3 = 2").drop("lang"))]
-    return relational.union_all(parts).groupBy("source_path").agg(F.count(F.lit(1)).alias("n"), F.count("lang").alias("n_lang"))
+    parts = [(n, table(spark, sf_dir, n).select(*c)) for n, c in (("documents", ["text"]), ("benchmark", ["text"]), ("conversations", ["text", "role"]))]
+    return relational.union_all(parts).groupBy("source_path").agg(F.count(F.lit(1)).alias("n"), F.count("role").alias("n_role"))
 
 
 @query("SELECT doc_id, i AS _row_idx FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents) WHERE i % 4 = 1")
@@ -138,12 +137,12 @@ def merge_last_wins_left(spark, sf_dir):
     return relational.join_last_wins(table(spark, sf_dir, "customer").select("c_custkey"), right, "c_custkey", ["o_orderkey", "o_totalprice"])
 
 
-@query("""WITH r AS (SELECT doc_id, ' ' || source AS t, CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS v FROM documents WHERE doc_id % 3 = 0),
+@query("""WITH r AS (SELECT doc_id, ' ' || source AS t, CASE WHEN lang = 'en' THEN lang ELSE '' END AS v FROM documents WHERE source <> 'src0'),
 bt AS (SELECT trim(t) AS t, arg_max(v, doc_id) AS v2 FROM r GROUP BY 1)
 SELECT d.doc_id, coalesce(nullif(r.v, ''), bt.v2) AS v FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id LEFT JOIN bt ON bt.t = d.source""")
 def fallback_lookup_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    right = docs.where("doc_id % 3 = 0").select(F.col("doc_id").alias("key"), F.concat(F.lit(" "), "source").alias("t"), F.expr("CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END").alias("v"), F.col("doc_id").alias("_row_idx"))
+    right = docs.where("source <> 'src0'").select(F.col("doc_id").alias("key"), F.concat(F.lit(" "), "source").alias("t"), F.expr("CASE WHEN lang = 'en' THEN lang ELSE '' END").alias("v"), F.col("doc_id").alias("_row_idx"))
     left = docs.select(F.col("doc_id").alias("key"), F.col("source").alias("t"))
     return relational.lookup_with_fallback(left, right, "key", "t", "v").select(F.col("key").alias("doc_id"), "v")
 
@@ -266,10 +265,10 @@ def reward_variance(spark, sf_dir):
     return rewards.reward_distribution(rows, "soft", "hard")
 
 
-@query(f"WITH g AS ({_GROUPS}) SELECT o_orderkey AS key, CASE WHEN o_orderkey % 2 = 0 THEN coalesce(len(s), 0) ELSE 0 END AS n_checklist, CASE WHEN o_orderkey % 3 = 0 THEN coalesce(len(s), 0) ELSE 0 END AS n_verifiable, (CASE WHEN o_orderkey % 2 = 0 THEN coalesce(len(list_distinct(list_transform(s, lambda v: v >= 1))), 0) ELSE 0 END <= 1 OR CASE WHEN o_orderkey % 3 = 0 THEN coalesce(len(list_distinct(s)), 0) ELSE 0 END <= 1) AS no_variance FROM orders LEFT JOIN g ON o_orderkey = l_orderkey")
+@query(f"WITH g AS ({_GROUPS}) SELECT o_orderkey AS key, CASE WHEN len(s) >= 4 THEN coalesce(len(s), 0) ELSE 0 END AS n_checklist, CASE WHEN len(s) <= 5 THEN coalesce(len(s), 0) ELSE 0 END AS n_verifiable, (CASE WHEN len(s) >= 4 THEN coalesce(len(list_distinct(list_transform(s, lambda v: v >= 1))), 0) ELSE 0 END <= 1 OR CASE WHEN len(s) <= 5 THEN coalesce(len(list_distinct(s)), 0) ELSE 0 END <= 1) AS no_variance FROM orders LEFT JOIN g ON o_orderkey = l_orderkey")
 def merge_rewards_no_variance(spark, sf_dir):
     g = _groups(spark, sf_dir).select(F.col("l_orderkey").alias("key"), F.col("scores").alias("soft"), F.transform("scores", lambda s: (s >= 1).cast("int")).alias("hard"), F.lit(0).alias("_row_idx"))
-    out = rewards.merge_rewards(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key")), g.where("key % 2 = 0"), g.where("key % 3 = 0"))
+    out = rewards.merge_rewards(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key")), g.where("size(soft) >= 4"), g.where("size(soft) <= 5"))
     return out.select("key", F.size("checklist_hard").cast("long").alias("n_checklist"), F.size("verifiable_soft").cast("long").alias("n_verifiable"), "no_variance")
 
 
