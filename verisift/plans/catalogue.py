@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from verisift.functions import replies
 from verisift.functions import text as T
-from verisift.operators import compare, generation, model_calls, relational, reshape, rewards, verify
+from verisift.operators import compare, generation, grading, model_calls, relational, reshape, rewards, verify
 from verisift.plans import oracles as O
 from verisift.plans.verify_queries import CASES
 
@@ -279,6 +279,20 @@ def filter_rewards(spark, sf_dir):
 
 # --- grading, comparison, quality
 
+_CHAT_TOKENS = f"regexp_extract_all(text, '{O.WORD}+')"
+
+
+@query(f"""WITH r AS (SELECT conv_id, coalesce(text, '') AS text FROM conversations WHERE role = 'assistant'),
+c AS (SELECT conv_id, text <> '' AS full_, (NOT contains(text, ','))::INT AS a, (len({_CHAT_TOKENS}) < 200)::INT AS b, (len(list_filter({_CHAT_TOKENS}, lambda t: regexp_matches(t, '^[a-z]+$'))) <= 200)::INT AS c FROM r),
+g AS (SELECT conv_id, count(*) AS n, count_if(full_ AND a + b + c = 3) AS p, sum(CASE WHEN full_ THEN a + b + c ELSE 0 END) / nullif(3 * count_if(full_), 0) AS acc, max(CASE WHEN full_ THEN (a + b + c) / 3 ELSE 0 END) AS best FROM c GROUP BY conv_id)
+SELECT k.conv_id, coalesce(n, 0) AS num_rollouts, coalesce(p, 0) AS num_passed, round(coalesce(acc, 0), 6) AS constraint_accuracy, round(coalesce(best, 0), 6) AS best_soft_reward_at_16
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN g USING (conv_id)""")
+def grade_rollouts(spark, sf_dir):
+    chats = _chats(spark, sf_dir).select("conv_id", reshape.assistant_responses(F.col("messages")).alias("responses"), F.lit(TRUTH).alias("ground_truth"))
+    out = grading.grade_rollouts(chats, "conv_id", TRUTH_IDS)
+    return out.select("conv_id", F.col("num_rollouts").cast("long").alias("num_rollouts"), F.col("num_passed").cast("long").alias("num_passed"), F.round("constraint_accuracy", 6).alias("constraint_accuracy"), F.round("best_soft_reward_at_16", 6).alias("best_soft_reward_at_16"))
+
+
 
 @query("SELECT source AS prompt, count(*) AS n_outputs, arg_min(lang, doc_id) AS gts, md5(string_agg(text, '|' ORDER BY doc_id)) AS outputs_md5, min(doc_id) AS first_row FROM documents GROUP BY source")
 def group_external(spark, sf_dir):
