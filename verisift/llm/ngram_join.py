@@ -289,10 +289,13 @@ def join(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col
 
 def dedup(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the rows whose id is not the smallest of its class; of rows that repeat an id one stays. Rows with a null id stay."""
-    kept = join(df, threshold, id_col, text_col).where(F.col(id_col) == F.col("class_id")).groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows"))
-    kept = scratch.stored(kept, "kept")
+    found = join(df, threshold, id_col, text_col).where(F.col(id_col).isNotNull())
+    each = scratch.stored(found.groupBy(id_col).agg(F.bool_or(F.col(id_col) == F.col("class_id")).alias("_kept"), F.count(F.lit(1)).alias("_rows")), "kept")
+    # what goes and what repeats is stored by itself: while it is small, texts need no shuffle
+    lost = scratch.stored(each.where(~F.col("_kept")).select(id_col), "lost")
+    several = scratch.stored(each.where(F.col("_kept") & (F.col("_rows") > 1)).select(id_col), "repeated")
     known = df.where(F.col(id_col).isNotNull())
-    once = known.join(kept.where("_rows = 1").select(id_col), id_col, "left_semi")
-    again = known.join(kept.where("_rows > 1").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
+    once = known.join(lost, id_col, "left_anti").join(several, id_col, "left_anti")
+    again = known.join(several, id_col, "left_semi").dropDuplicates([id_col])
     out = once.unionByName(again).unionByName(df.where(F.col(id_col).isNull()))
     return out.select(*df.columns)
