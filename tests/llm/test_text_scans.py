@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,6 +139,25 @@ def test_license_templates_find_themselves(spark):
         assert r["license"] == r["doc_id"].split("#")[0] and r["score"] > 0.999, r
 
 
+def wrapped(text, width, sign):
+    return "\n".join(sign + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_notices_and_whole_license_files(spark):
+    mit, gpl = licenses.TEMPLATES["MIT"][3], licenses.TEMPLATES["GPL-3.0"][2]
+    no_warranty = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY. See the GNU General Public License for more details."
+    rows = [
+        ("MIT", "a/b.txt", wrapped(mit, 80, "") + "\n\nint x;"), ("GPL-3.0", "a/b.py", wrapped(gpl, 70, "# ") + "\n#\n" + wrapped(no_warranty, 70, "# ") + "\nimport os"),
+        ("AGPL-3.0", "a/c.py", wrapped(gpl.replace("General", "Affero General"), 70, "// ")), ("BSD-2-Clause", "a/d.c", "/*\n * Copyright (c) 2020 Foo\n *\n" + wrapped(licenses.TEXTS["BSD-2-Clause"], 70, " * ") + "\n */\n\nint x;"),
+        *[(name, f"{name}/LICENSE", "Copyright (c) 2020 Foo\n\n" + wrapped(text, 75, "")) for name, text in licenses.TEXTS.items()],
+        ("GPL-3.0", "g/COPYING", "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n" + "Everyone is permitted to copy and distribute verbatim copies of this document.\n\n" * 200), (None, "a/e.py", "All is quiet.\nlicense plate number of the car\nthat went by"),
+        ("Proprietary", "a/f.py", "# Copyright. All rights\n# reserved. Confidential and\n# proprietary."),
+    ]
+    df = spark.createDataFrame([(k, p, t) for k, (_, p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(df, "doc_id", "path").collect()}
+    assert [got[k] for k in range(len(rows))] == [r[0] for r in rows]
+
+
 def test_quality_on_held_out_labels(spark):
     base = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{base}/documents.parquet")
