@@ -164,6 +164,15 @@ def test_repeated_rows_are_copies(spark):
     assert sorted(r["doc_id"] for r in ngram_join.dedup(df).collect()) == [1, 2]
 
 
+def test_dedup_keeps_distinct_texts_that_share_an_id(spark):
+    word = lambda p: " ".join(f"{p}{k}" for k in range(200))
+    rows = [(1, word("a")), (2, word("a") + " x"), (2, word("b")), (3, word("c")), (3, word("d")), (3, word("d")), (4, word("e")), (4, word("e") + " x"), (5, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in ngram_join.dedup(df).collect()]
+    assert sorted(t for i, t in got if i in (1, 2, 3)) == [word(p) for p in "abcd"]
+    assert sum(i == 4 for i, _ in got) == 1 and sum(i == 5 for i, _ in got) == 2
+
+
 def test_pruning_keeps_what_is_similar():
     rng = np.random.default_rng(6)
     lost = 0

@@ -208,6 +208,11 @@ def passes(table: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
 
 def join(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_links, class_id (the smallest id that is reachable over links, itself included) for every row of df."""
+    return classified(df, threshold, id_col, text_col).select(F.col("id").alias(id_col), "n_links", "class_id")
+
+
+def classified(df: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """id, h1, h2 (of the text), n_links, class_id, root (a number of the class, null for blank texts and null ids) for every row of df."""
     kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumns(_text_hash("text"))
@@ -278,24 +283,32 @@ def join(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col
     roots = graphs.components(found.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep")
     named = scratch.stored(roots.join(classes.select("rep", "id"), "rep"), "named")
     lowest = named.groupBy("root").agg(F.min("id").alias("class_id"))
-    named = graphs.hot_join(named, lowest, ["root"]).select("rep", "class_id")
+    named = graphs.hot_join(named, lowest, ["root"]).select("rep", "root", "class_id")
     result = classes.select("rep", "h1", "h2", "id", "n").join(links, "rep", "left").join(named, "rep", "left")
-    result = result.select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "id").alias("class_id"))
+    result = result.select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("root", "rep").alias("root"))
     result = scratch.stored(result, "class_result")
-    own = graphs.hot_join(part.select("id", "h1", "h2"), result, ["h1", "h2"]).select("id", "n_links", "class_id")
-    rest = known.where(F.col("id").isNull() | (F.size("keys") == 0)).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("class_id"))
-    return own.unionByName(rest).withColumnRenamed("id", id_col)
+    own = graphs.hot_join(part.select("id", "h1", "h2"), result, ["h1", "h2"]).select("id", "h1", "h2", "n_links", "class_id", "root")
+    rest = known.where(F.col("id").isNull() | (F.size("keys") == 0)).select("id", "h1", "h2", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("class_id"), F.lit(None).cast("long").alias("root"))
+    return own.unionByName(rest)
 
 
 def dedup(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df without the rows whose id is not the smallest of its class; of rows that repeat an id one stays. Rows with a null id stay."""
-    found = join(df, threshold, id_col, text_col).where(F.col(id_col).isNotNull())
-    each = scratch.stored(found.groupBy(id_col).agg(F.bool_or(F.col(id_col) == F.col("class_id")).alias("_kept"), F.count(F.lit(1)).alias("_rows")), "kept")
+    """df without the rows whose id is not the smallest of their own class; of rows that repeat id and text, and of texts of one class that repeat its smallest id, one stays. Rows with a null id stay."""
+    key = ["_id", "_h1", "_h2"]
+    found = classified(df, threshold, id_col, text_col).where(F.col("id").isNotNull()).select(F.col("id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "class_id", "root")
+    each = found.groupBy(*key).agg(F.first("class_id").alias("class_id"), F.first("root").alias("root"), F.count(F.lit(1)).alias("_rows"))
+    each = scratch.stored(each.withColumn("_kept", F.col("_id") == F.col("class_id")), "kept")
+    # different texts of one class with its smallest id: the least hash stays
+    least = each.where(F.col("_kept") & F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("_h1", "_h2")).alias("_least"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    least = scratch.stored(least.select("root", "_least"), "least")
+    second = each.where("_kept").join(least, "root").where(F.struct("_h1", "_h2") != F.col("_least")).select(*key)
     # what goes and what repeats is stored by itself: while it is small, texts need no shuffle
-    lost = scratch.stored(each.where(~F.col("_kept")).select(id_col), "lost")
-    several = scratch.stored(each.where(F.col("_kept") & (F.col("_rows") > 1)).select(id_col), "repeated")
-    known = df.where(F.col(id_col).isNotNull())
-    once = known.join(lost, id_col, "left_anti").join(several, id_col, "left_anti")
-    again = known.join(several, id_col, "left_semi").dropDuplicates([id_col])
-    out = once.unionByName(again).unionByName(df.where(F.col(id_col).isNull()))
-    return out.select(*df.columns)
+    lost = scratch.stored(each.where(~F.col("_kept")).select(*key).unionByName(second), "lost")
+    several = scratch.stored(each.where(F.col("_kept") & (F.col("_rows") > 1)).select(*key), "repeated")
+    text = F.col(text_col).cast("string")
+    known = df.where(F.col(id_col).isNotNull()).withColumns({"_id": F.col(id_col), "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(1), text)})
+    known = known.join(lost, key, "left_anti")
+    once = known.join(several, key, "left_anti")
+    again = known.join(several, key, "left_semi").dropDuplicates(key)
+    out = once.unionByName(again).select(*df.columns)
+    return out.unionByName(df.where(F.col(id_col).isNull()))
