@@ -1,6 +1,7 @@
 """Secrets, personal data, licences, lines and quality against brute force."""
 
 import hashlib
+import random
 import re
 import textwrap
 
@@ -36,7 +37,7 @@ def test_secret_base_spans(spark):
 
 def test_markov_models_tell_random_strings_from_identifiers(spark):
     words = "the quick settings manager reads every configuration value before starting another worker process and returns account details for customers".split()
-    corpus = spark.createDataFrame([(i, " ".join(words[i % 7 :] + words)) for i in range(200)], "doc_id long, text string")
+    corpus = spark.createDataFrame([(i, " ".join(random.Random(i).sample(words, len(words)))) for i in range(300)], "doc_id long, text string")
     model = secrets.train(secrets.sample_identifiers(corpus, "text"), secrets.sample_random(corpus, 500))
     random_like = ["q7Xb9ZkP2vR4tLw8HsYd3NfGm", "Zx8Kq2Lw9Vb4Nm7Jt5Rc3Yp6Hd1Gs", "aB3dE5gH7jK9mN1pQ3sT5vW7yZ2xC4"]
     ordinary = ["configurationValueManager2", "customers_account_details_1", "Another-Worker-Process-Settings", "READS_EVERY_Value_settings9"]

@@ -12,18 +12,25 @@ HOT_KEYS = 200
 HOT_LEAST = 1000
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataFrame | None = None, total: int | None = None) -> DataFrame:
+def hot_keys(sizes: DataFrame, keys: list[str], total: int) -> DataFrame | None:
+    """The hot keys of sizes (keys and _n, the rows of each key) as a stored table of at most HOT_KEYS rows, or None."""
+    least = max(HOT_LEAST, -(-total // HOT_KEYS))
+    hot = scratch.stored(sizes.where(F.col("_n") >= least).select(*keys), "hot_keys")
+    return hot if hot.head(1) else None
+
+
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataFrame | None = None, total: int | None = None, hot: DataFrame | str | None = "unknown") -> DataFrame:
     """left LEFT JOIN right on keys; right has at most one row for a key, keys are not null.
 
     Rows of hot keys stay where they are: right's rows for them, HOT_KEYS at most,
     are broadcast. The others are joined by shuffle. left should be a stored table,
     it is read three times. sizes (keys and _n, the rows of each key that right has)
-    and total spare counting left.
+    and total spare counting left; hot, as hot_keys gives it, spares both.
     """
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes
-    least = max(HOT_LEAST, -(-(left.count() if total is None else total) // HOT_KEYS))
-    hot = scratch.stored(counts.where(F.col("_n") >= least).select(*keys), "hot_keys")
-    if not hot.head(1):
+    if isinstance(hot, str):
+        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes
+        hot = hot_keys(counts, keys, left.count() if total is None else total)
+    if hot is None:
         return left.join(right, keys, "left")
     cold = left.join(F.broadcast(hot), keys, "left_anti").join(right, keys, "left")
     own = F.broadcast(right.join(F.broadcast(hot), keys, "left_semi"))

@@ -3,10 +3,12 @@
 The fixed patterns find assignments, access keys and hex strings. Other long
 strings are scored by two first-order character models, one of random strings
 and one of ordinary identifiers: the sum of log-likelihood ratios over a string's
-character pairs must exceed ``min_ratio``. The models are trained from labelled
-samples: random strings are made by rule from digests, identifiers are the words
-(and joined words) of a bounded sample of documents. The counts are aggregated in
-Spark; only the table of character pairs (fixed size) reaches the driver.
+character pairs must reach ``min_ratio``. Only strings with a letter and at least
+MIN_DISTINCT distinct characters are scored: rules, fillers and plain numbers are no
+secrets, however unlike words they are. The models are trained from labelled samples:
+random strings are made by rule from digests, identifiers are all words (and joined
+words) of about TRAIN_DOCS distinct texts. The counts are aggregated in Spark; only
+the table of character pairs (fixed size) reaches the driver.
 
 All work is done by native expressions. Patterns use possessive runs of single
 characters, so that very long texts neither backtrack nor recurse.
@@ -36,6 +38,8 @@ CANDIDATE = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![\p{L}\p{N}])"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Documents sampled for ordinary identifiers, and random strings made, at most about.
 TRAIN_DOCS, TRAIN_RANDOM = 500, 4000
+#: Fewer distinct characters than this are a rule or a filler, not a secret.
+MIN_DISTINCT = 8
 #: A string is a secret from this log-likelihood ratio on; e^14 is about a million to one.
 MIN_RATIO = 14.0
 
@@ -44,20 +48,25 @@ def _pairs(strings: DataFrame) -> DataFrame:
     """pair, n of the character pairs of column s."""
     s = F.regexp_replace("s", "[^A-Za-z0-9+/_=-]", "")
     rows = strings.select(s.alias("s")).where(F.length("s") >= 4)
-    rows = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring("s", i, F.lit(2)))).alias("pair"))
-    return rows.groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
+    pairs = spans.let(F.split("s", r"(?!^)(?!\z)"), lambda c: F.transform(F.slice(c, 1, F.size(c) - 1), lambda x, i: F.concat(x, F.get(c, i + 1))))
+    return rows.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
 
 
 def sample_identifiers(df: DataFrame, text_col: str, n_docs: int = TRAIN_DOCS) -> DataFrame:
-    """Column s: words of about n_docs documents, alone and joined as code joins them."""
+    """Column s: all words of about n_docs distinct texts, alone and joined as code joins them."""
     share = min(1.0, n_docs / max(1, df.count()))
     chosen = df.where((F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20)))) & F.col(text_col).isNotNull())
-    words = F.filter(F.split(text_col, r"[^\p{L}]+"), lambda w: (F.length(w) >= 2) & (F.length(w) <= 40))
-    rows = chosen.select(F.slice(words, 1, 400).alias("w")).where(F.size("w") > 1)
-    joined = F.transform("w", lambda w, i: F.concat(w, F.get(F.array(F.lit("_"), F.lit("-"), F.lit("/"), F.lit(""), F.lit("")), i % 5), F.when(i % 5 == 3, F.initcap(F.get("w", i + 1))).otherwise(F.coalesce(F.get("w", i + 1), F.lit("")))))
-    shouted = F.transform(F.slice("w", 1, 40), lambda w: F.concat(F.upper(w), F.lit("_"), F.upper(w)))
-    numbered = F.transform(F.slice("w", 1, 40), lambda w, i: F.concat(w, (i % 12).cast("string")))
-    return rows.select(F.explode(F.concat(joined, shouted, numbered)).alias("s"))
+    words = F.filter(F.split("t", r"[^\p{L}]+"), lambda w: F.length(w) >= 2)
+    # copies share their hash: each distinct text counts once, whether it has one copy or a third of all rows
+    rows = chosen.groupBy(F.xxhash64(text_col).alias("h")).agg(F.first(text_col).alias("t")).select(words.alias("w")).where(F.size("w") > 1)
+    signs = F.array(F.lit("_"), F.lit("-"), F.lit("/"), F.lit(""), F.lit(""))
+    after = lambda i: F.coalesce(F.get("w", i + 1), F.lit(""))
+    joined = F.transform("w", lambda w, i: F.concat(w, F.get(signs, i % 5), F.when(i % 5 == 3, F.initcap(after(i))).otherwise(after(i))))
+    shouted = F.transform("w", lambda w: F.concat(F.upper(w), F.lit("_"), F.upper(w)))
+    numbered = F.transform("w", lambda w, i: F.concat(w, (i % 12).cast("string")))
+    # capitals and numbers are the rarer forms: every tenth word gives them
+    rare = F.filter(F.concat(shouted, numbered), lambda s, i: i % 10 == 0)
+    return rows.select(F.explode(F.concat(joined, rare)).alias("s"))
 
 
 def sample_random(df: DataFrame, n: int = TRAIN_RANDOM) -> DataFrame:
@@ -104,8 +113,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_rati
 
     def random_like(m: Column) -> Column:
         s = m["found"]
-        classes = s.rlike("[a-z]").cast("int") + s.rlike("[A-Z]").cast("int") + s.rlike("[0-9]").cast("int")
-        return (classes >= 2) & (F.size(F.array_distinct(F.split(s, r"(?!^)(?!\z)"))) >= 8) & (ratio(s, model) >= min_ratio)
+        varied = F.size(F.array_distinct(F.split(s, r"(?!^)(?!\z)"))) >= MIN_DISTINCT
+        return varied & s.rlike("[A-Za-z]") & (ratio(s, model) >= min_ratio)
 
     out = out.withColumn("_clear", spans.clear_of(F.col("_other"), F.col("base")))
     out = out.withColumn("spans", F.concat("base", spans.tagged(F.filter("_clear", random_like), 3)))
