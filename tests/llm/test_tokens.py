@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import time
 import zlib
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,6 +45,52 @@ def test_encoding_equals_the_library(spark):
         assert r["decoded_sha256"] == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def long_texts():
+    rng = random.Random(9)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    return ["a" * 1_000_000, letters, "\n" * 2_000_000, " \t" * 500_000, "日本" * 100_000, "é'" * 50_000, "the" * 100_000 + " x"]
+
+
+def test_long_unbroken_texts_are_encoded_in_time():
+    word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    pieces, t = packing.piece_ids(BYTE, RANKS), bpe.tables(WORD)
+    for text in long_texts():
+        start = time.time()
+        tokens, offset = bpe.encode_slice(pa.array([text, "b"]), WORD)
+        ids, at = packing.encode_slice(pa.array([text, "b"]), pieces)
+        assert time.time() - start < 30
+        assert t.out_id[tokens[: offset[1]]].tolist() == word.encode(text, add_special_tokens=False).ids
+        assert ids[: at[1]].tolist() == byte.encode(text, add_special_tokens=False).ids
+
+
+def test_words_read_together_and_one_by_one_agree(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aehinrst") for _ in range(rng.randint(1, 40))) for _ in range(200)]
+    t = bpe.tables(WORD)
+    sym = np.frombuffer("".join(words).encode(), np.uint8).astype(np.int64)
+    start = np.r_[0, np.cumsum([len(w) for w in words])]
+    sym[start[1:] - 1] += 256
+    together = t.encode_words(sym, start)
+    monkeypatch.setattr(bpe, "FEW", 10_000)
+    alone = t.encode_words(sym, start)
+    assert (together[0] == alone[0]).all() and (together[1] == alone[1]).all()
+
+
+def test_automaton_lists_every_suffix_that_is_a_token():
+    t = bpe.tables(WORD)
+    known = {n: k for k, n in enumerate(t.names) if t.end not in n}
+    text = "internationalization"
+    state = np.zeros(1, np.int64)
+    for k, c in enumerate(text):
+        state = t.step(state, np.array([ord(c)]))
+        node, found = int(state[0]), set()
+        while node:
+            if t.token_at[node] >= 0:
+                found.add(t.names[t.token_at[node]])
+            node = int(t.link[node])
+        assert found == {text[j : k + 1] for j in range(k + 1)} & set(known)
+
+
 def test_empty_table_and_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
     assert bpe.encode_documents(df, WORD).count() == 3

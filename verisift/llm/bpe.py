@@ -1,11 +1,13 @@
 """BPE encoding and decoding by per-prefix dynamic programming.
 
-``BpeTables`` holds a vocabulary as numpy arrays: a trie whose walks list every
-token that ends at a given prefix (the suffix matches), and the merge table with
-each token's two halves. ``encode_words`` handles many words at once: for each
-prefix exactly one token can be the last one of its encoding, namely the suffix
-match whose pairing with the last token of the remaining prefix is compatible
-(merging would not cross their border). Back-pointers then give the exact ids.
+``BpeTables`` holds a vocabulary as arrays: a suffix automaton over all tokens, whose
+links list the tokens that end a given prefix (the suffix matches), and the merge
+table with each token's two halves. For each prefix exactly one token can be the last
+one of its encoding, namely the suffix match whose pairing with the last token of the
+remaining prefix is compatible (merging would not cross their border). Back-pointers
+then give the exact ids. ``encode_words`` reads many words a symbol at a time; words
+that are longer than almost all others are read on one by one, in time linear in
+their length.
 
 Texts are cut at white space, equal pieces are encoded once per batch, and ids
 go back to documents by dictionary codes, so Python loops touch distinct pieces
@@ -21,7 +23,7 @@ import hashlib
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one pass of the encoder takes together.
 SLICE_BYTES = 8 << 20
+#: Fewer words than this are read one by one; pairs whose compatibility is remembered meanwhile.
+FEW, KNOWN_PAIRS = 16, 1 << 19
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -123,25 +127,57 @@ class BpeTables:
         self.left, self.right = np.array(left, np.int64), np.array(right, np.int64)
         self.length = np.array([len(s) for s in symbols], np.int64)
         self.out_id = np.array([special_id[n] if n in special_id else vocab.get(n, -1) for n in names], np.int64)
-        n_sym = self.n_sym = base
-        nodes: dict[int, int] = {}
-        token_at = [-1]
+        self.n_sym, self.n_tokens = base, len(names)
+        pair = self.left[base:] * self.n_tokens + self.right[base:]
+        self.pairs = HashIndex(pair, np.arange(base, self.n_tokens, dtype=np.int32))
+        self.pair_token = dict(zip(pair.tolist(), range(base, self.n_tokens), strict=True))
+        self._build_automaton(symbols)
+        self.known: dict[int, bool] = {}
+
+    def _build_automaton(self, symbols: list[tuple[int, ...]]) -> None:
+        """States are prefixes of tokens. fail leads to the longest proper suffix that is a
+        state, link to the longest one that is a token; 0 is the empty prefix."""
+        # a token that merging its own symbols never gives can be no last token
+        built = self.compatible(self.left[self.base :], self.right[self.base :], np.arange(self.base, self.n_tokens))
+        usable = [True] * self.n_tokens
+        for token in range(self.base, self.n_tokens):
+            usable[token] = bool(built[token - self.base]) and usable[self.left[token]] and usable[self.right[token]]
+        self.goto: dict[int, int] = {}
+        parent, sym, level, token_at = [0], [0], [0], [-1]
         for token, seq in enumerate(symbols):
             state = 0
-            for s in seq:
-                key = state * n_sym + s
-                state = nodes.setdefault(key, len(token_at))
-                if state == len(token_at):
+            for depth, s in enumerate(seq, 1):
+                to = self.goto.setdefault(state * self.n_sym + s, len(level))
+                if to == len(level):
+                    parent.append(state)
+                    sym.append(s)
+                    level.append(depth)
                     token_at.append(-1)
-            token_at[state] = token
-        self.trie = HashIndex(np.fromiter(nodes.keys(), np.int64), np.fromiter(nodes.values(), np.int32))
-        self.token_at = np.array(token_at, np.int32)
-        self.n_tokens = len(names)
-        pair = self.left[base:] * self.n_tokens + self.right[base:]
-        self.pairs = HashIndex(pair, np.arange(base, self.n_tokens, dtype=np.int32))
+                state = to
+            if usable[token]:
+                token_at[state] = token
+        self.trie = HashIndex(np.fromiter(self.goto.keys(), np.int64), np.fromiter(self.goto.values(), np.int32))
+        self.token_at = np.array(token_at, np.int64)
+        parent, sym, level = (np.array(x, np.int64) for x in (parent, sym, level))
+        self.fail, self.link = np.zeros(len(level), np.int64), np.zeros(len(level), np.int64)
+        for depth in range(2, int(level.max()) + 1):
+            at = np.flatnonzero(level == depth)
+            to = self.fail[at] = self.step(self.fail[parent[at]], sym[at])
+            self.link[at] = np.where(self.token_at[to] >= 0, to, self.link[to])
+
+    def step(self, state: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """The state after one more symbol: the longest suffix read so far that begins a token."""
+        out, at = np.zeros(len(state), np.int64), np.arange(len(state))
+        while len(at):
+            to = self.trie.get(state * self.n_sym + sym).astype(np.int64)
+            hit = to >= 0
+            out[at[hit]] = to[hit]
+            more = ~hit & (state > 0)
+            at, state, sym = at[more], self.fail[state[more]], sym[more]
+        return out
 
-    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether BPE keeps a border between tokens a and b.
+    def compatible(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
+        """Whether BPE keeps a border between tokens a and b, before merge number limit if that is given.
 
         The merges that built the two tokens are undone from the latest on; the
         border falls if, at some moment, merging across it would have come first.
@@ -149,7 +185,7 @@ class BpeTables:
         out = np.ones(len(a), bool)
         at = np.arange(len(a))
         a, b = a.astype(np.int64), b.astype(np.int64)
-        limit = np.full(len(a), 1 << 40, np.int64)
+        limit = np.full(len(a), self.n_tokens, np.int64) if limit is None else limit
         while len(at):
             across = self.pairs.get(a * self.n_tokens + b)
             lost = (across >= 0) & (across < limit)
@@ -164,62 +200,121 @@ class BpeTables:
             a, b = np.where(undo_a, self.right[a], a), np.where(undo_a, b, self.left[b])
         return out
 
+    def compatible_one(self, a: int, b: int) -> bool:
+        """compatible for one pair, remembered."""
+        key = a * self.n_tokens + b
+        ok = self.known.get(key)
+        if ok is None:
+            if len(self.known) >= KNOWN_PAIRS:
+                self.known.clear()
+            left, right = self.halves
+            limit, ok = self.n_tokens, True
+            while True:
+                if self.pair_token.get(a * self.n_tokens + b, limit) < limit:
+                    ok = False
+                    break
+                if a < self.base and b < self.base:
+                    break
+                if b < self.base or (a >= self.base and a > b):
+                    limit, a = a, right[a]
+                else:
+                    limit, b = b + 1, left[b]
+            self.known[key] = ok
+        return ok
+
+    def last_tokens(self, sym: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The one last token of each prefix, by the position of its last symbol (-1 if there is none).
+
+        All words read a symbol at a time; once few are left, they are read one by one.
+        """
+        size = np.diff(start)
+        order = np.argsort(-size, kind="stable")
+        begin, size = start[:-1][order], size[order]
+        last, state, k = np.full(len(sym), -1, np.int64), np.zeros(len(order), np.int64), 0
+        falling = -size
+        while (live := int(np.searchsorted(falling, -k))) >= FEW:
+            first = begin[:live]
+            state = self.step(state[:live], sym[first + k])
+            todo, node = np.arange(live), np.where(self.token_at[state] >= 0, state, self.link[state])
+            # suffix matches of the prefix, the longest first
+            while len(todo):
+                t = self.token_at[node]
+                before = k + 1 - self.length[t]
+                ok = before == 0
+                inner = np.flatnonzero(~ok)
+                if len(inner):
+                    ok[inner] = self.compatible(last[first[todo[inner]] + before[inner] - 1], t[inner])
+                last[first[todo[ok]] + k] = t[ok]
+                node = self.link[node]
+                more = ~ok & (node > 0)
+                todo, node = todo[more], node[more]
+            k += 1
+        for w in range(live):
+            lo, hi = int(begin[w]), int(begin[w] + size[w])
+            last[lo:hi] = self._read_on(sym[lo:hi].tolist(), last[lo : lo + k].tolist(), int(state[w]))
+        return last
+
+    def _read_on(self, sym: list[int], last: list[int], state: int) -> list[int]:
+        goto, n_sym, ok = self.goto, self.n_sym, self.compatible_one
+        fail, link, token_at, length = self.lists
+        for k in range(len(last), len(sym)):
+            s = sym[k]
+            while (to := goto.get(state * n_sym + s, 0)) == 0 and state:
+                state = fail[state]
+            state = to
+            node, found = state if token_at[state] >= 0 else link[state], -1
+            while node:
+                t = token_at[node]
+                before = k + 1 - length[t]
+                if before == 0 or ok(last[before - 1], t):
+                    found = t
+                    break
+                node = link[node]
+            last.append(found)
+        return last
+
+    @cached_property
+    def lists(self) -> tuple[list[int], ...]:
+        return tuple(x.tolist() for x in (self.fail, self.link, self.token_at, self.length))
+
+    @cached_property
+    def halves(self) -> tuple[list[int], list[int]]:
+        return self.left.tolist(), self.right.tolist()
+
     def encode_words(self, sym: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens (in merge order numbers) of words given as symbols; start has
         one more entry than there are words. Returns flat tokens and offsets."""
-        n_words, n = len(start) - 1, len(sym)
-        if not n:
+        n_words = len(start) - 1
+        if not len(sym):
             return np.zeros(0, np.int64), np.zeros(n_words + 1, np.int64)
-        size = np.diff(start)
-        word_end = np.repeat(start[1:], size)
-        word_start = np.repeat(start[:-1], size)
-        # every match of a token, by its start
-        pos = np.arange(n)
-        state = np.zeros(n, np.int64)
-        begun, ended, token = [], [], []
-        depth = 0
-        while len(pos):
-            state = self.trie.get(state * self.n_sym + sym[pos + depth]).astype(np.int64)
-            depth += 1
-            alive = state >= 0
-            pos, state = pos[alive], state[alive]
-            t = self.token_at[state]
-            hit = t >= 0
-            begun.append(pos[hit])
-            ended.append(pos[hit] + depth)
-            token.append(t[hit])
-            more = pos + depth < word_end[pos]
-            pos, state = pos[more], state[more]
-        begun, ended, token = map(np.concatenate, (begun, ended, token))
-        rel = ended - word_start[begun]
-        order = np.argsort(rel.astype(np.uint16) if rel.max() < 1 << 16 else rel, kind="stable")
-        begun, ended, token, rel = begun[order], ended[order], token[order], rel[order]
-        last = np.full(n + 1, -1, np.int64)  # by the position of a prefix's last symbol
-        bounds = np.flatnonzero(np.diff(rel)) + 1
-        for lo, hi in zip(np.r_[0, bounds], np.r_[bounds, len(rel)], strict=True):
-            s, e, t = begun[lo:hi], ended[lo:hi], token[lo:hi]
-            ok = s == word_start[s]
-            inner = np.flatnonzero(~ok)
-            if len(inner):
-                ok[inner] = self.compatible(last[s[inner] - 1], t[inner])
-            last[e[ok] - 1] = t[ok]
-        # follow the back-pointers of all words together
-        live = np.flatnonzero(size > 0)
+        last = self.last_tokens(sym, start)
+        if (last < 0).any():
+            raise ValueError("a prefix has no encoding: the vocabulary lacks a byte")
+        # follow the back-pointers: of all words together, then of the few long ones that are left
+        live = np.flatnonzero(np.diff(start) > 0)
         at = start[1:][live] - 1
-        steps, count = [], np.zeros(n_words, np.int64)
-        while len(live):
+        steps, count, rest = [], np.zeros(n_words, np.int64), {}
+        while len(live) >= FEW:
             t = last[at]
-            if (t < 0).any():
-                raise ValueError("a prefix has no encoding: the vocabulary lacks a byte")
             steps.append((live, t))
             count[live] += 1
             at = at - self.length[t]
             more = at >= start[live]
             live, at = live[more], at[more]
+        length = self.lists[3]
+        for w, end in zip(live.tolist(), at.tolist(), strict=True):
+            own, tokens, k = last[start[w] : end + 1].tolist(), [], int(end - start[w])
+            while k >= 0:
+                tokens.append(own[k])
+                k -= length[own[k]]
+            rest[w] = tokens[::-1]
+            count[w] += len(tokens)
         offset = np.r_[0, np.cumsum(count)]
         flat = np.empty(offset[-1], np.int64)
         for k, (w, t) in enumerate(steps):
             flat[offset[w + 1] - 1 - k] = t
+        for w, tokens in rest.items():
+            flat[offset[w] : offset[w] + len(tokens)] = tokens
         return flat, offset
 
 

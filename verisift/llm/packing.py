@@ -75,9 +75,10 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 class PieceIds:
     """Ids of text pieces: by the rank form of the vocabulary where both libraries
-    split alike, else (characters past Latin, special tokens) by the tokenizer itself."""
+    split alike, else by the tokenizer itself: characters past Latin, special tokens, and
+    long pieces, whose runs of white space would overflow the other library's stack."""
 
-    LATIN_END = "\u0250"
+    LATIN_END, LONG = "\u0250", 2048
 
     def __init__(self, path: str, ranks_path: str):
         self.library = bpe.library(path)
@@ -89,8 +90,8 @@ class PieceIds:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and offsets, one list for each piece."""
-        quick, end = self.ranks.encode_ordinary, self.LATIN_END
-        lists = [quick(p) if (p.isascii() or max(p) < end) and "<|" not in p else self.library.encode(p, add_special_tokens=False).ids for p in pieces]
+        quick, end, long = self.ranks.encode_ordinary, self.LATIN_END, self.LONG
+        lists = [quick(p) if len(p) <= long and (p.isascii() or max(p) < end) and "<|" not in p else self.library.encode(p, add_special_tokens=False).ids for p in pieces]
         offset = np.r_[0, np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))]
         return np.fromiter(chain.from_iterable(lists), np.int64, offset[-1]), offset
 
