@@ -130,7 +130,7 @@ def test_first_fit_decreasing_is_first_fit():
 @pytest.mark.parametrize("group_rows", [8192, 7])
 def test_packing_holds_each_id_once(spark, group_rows):
     data = [(i, t) for i, t in enumerate([*texts()[:60], "word " * 5000])]
-    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in data], "doc_id long, text string, id string, place int, grp int").repartition(3)
     rows = packing.pack_documents(df, BYTE, RANKS, capacity=64, group_rows=group_rows).toPandas()
     lib = Tokenizer.from_file(BYTE)
     for i, t in data:
@@ -140,5 +140,6 @@ def test_packing_holds_each_id_once(spark, group_rows):
             assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
             at += r.length
         assert at == len(ids)
+    assert ((rows.sequence_id < 0) == (rows.length == 64)).all()
     for _, g in rows.sort_values("offset").groupby("sequence_id"):
         assert g.offset.tolist() == [0, *g.length.cumsum().tolist()[:-1]] and g.length.sum() <= 64

@@ -4,13 +4,14 @@ Documents become token ids in one pass; long ones are cut into full sequences
 and one remainder. Remainders are dealt to random groups of documents, and each
 group packs its own by first-fit decreasing: a tournament tree over the free room
 of the open sequences finds the first one with enough room in log time. Full
-sequences need no packing. Only lengths and checksums cross the shuffle.
+sequences need no packing and no shuffle; they have negative numbers. Only lengths
+and checksums of remainders cross the shuffle.
 
 The groups come from a hash of the row's place in the input, not of its id, so
 that repeated ids spread. Each group leaves at most its last sequences with room.
 
 Defined results: a null text is an empty one and yields a single piece with the
-end token; repeated or null ids each yield their own pieces.
+end token; repeated or null ids each yield their own pieces; other columns are left out.
 """
 
 from __future__ import annotations
@@ -29,13 +30,14 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verisift.llm import bpe
+from verisift.llm import bpe, scratch
 
 #: Remainders that one group packs, on average. A group is one task's work and stays small at any input size.
 GROUP_ROWS = 8192
 #: Sequences are numbered within a group below this, groups above.
 GROUP_SPAN = 1 << 32
 
+
 class RoomTree:
     """A tournament tree: each node holds the most room among its sequences."""
 
@@ -158,22 +160,18 @@ def pack_documents(df: DataFrame, path: str, ranks_path: str, capacity: int = 20
 
     placed = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("place"), F.col(text_col).cast("string").alias("text"))
     pieces = placed.mapInArrow(cut, f"id {kind}, place bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
-    groups = max(1, math.ceil(df.count() / group_rows))
+    # lengths only, so that texts are tokenized once
+    pieces = scratch.stored(pieces, "pieces")
+    whole = pieces.where(F.col("length") == capacity).select("id", "start", "length", "ids_crc32", "doc_tokens", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rests = pieces.where(F.col("length") < capacity)
+    groups = max(1, math.ceil(rests.count() / group_rows))
 
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("place", "ascending"), ("start", "ascending")])
-        sizes = rows["length"].to_numpy()
-        bins, offsets = np.arange(len(sizes), dtype=np.int64), np.zeros(len(sizes), np.int64)
-        part = np.flatnonzero(sizes < capacity)
-        b, o = first_fit_decreasing(sizes[part], capacity)
-        # sequences of remainders come first, full ones follow
-        used = int(b.max()) + 1 if len(b) else 0
-        bins[part], offsets[part] = b, o
-        whole = np.flatnonzero(sizes == capacity)
-        bins[whole] = used + np.arange(len(whole))
+        rows = rows.sort_by([("place", "ascending")])
+        bins, offsets = first_fit_decreasing(rows["length"].to_numpy(), capacity)
         out = rows.drop_columns(["place", "grp"])
         return out.append_column("sequence_id", pa.array(bins + key[0].as_py() * GROUP_SPAN)).append_column("offset", pa.array(offsets))
 
-    grouped = pieces.withColumn("grp", F.pmod(F.xxhash64(F.col("place")), F.lit(groups)).cast("long"))
-    out = grouped.groupBy("grp").applyInArrow(pack, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
-    return out.withColumnRenamed("id", id_col)
+    grouped = rests.withColumn("grp", F.pmod(F.xxhash64(F.col("place")), F.lit(groups)).cast("long"))
+    packed = grouped.groupBy("grp").applyInArrow(pack, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
+    return packed.unionByName(whole).withColumnRenamed("id", id_col)
