@@ -61,22 +61,38 @@ def test_every_close_pair_meets_in_one_cell():
     x, _ = vectors(2)
     u = metric_join.unit(x.astype(float))
     for radius, n in itertools.product((0.1, 0.374, 0.9), (1, 5, 20)):
-        home, guest = metric_join.homes_and_guests(u, u[:n], radius)
+        home, who, where = metric_join.homes_and_guests(u, u[:n], radius)
+        visits = set(zip(who.tolist(), where.tolist(), strict=True))
+        assert not any(home[i] == c for i, c in visits)
         d = np.sqrt(np.maximum(0, 2 - 2 * u @ u.T))
         for i, j in zip(*np.nonzero(np.triu(d <= radius, 1)), strict=True):
-            a, b = (i, j) if home[i] <= home[j] else (j, i)
-            assert home[a] == home[b] or guest[b, home[a]]
+            # in one cell only, as residents or as resident and guest
+            assert (home[i] == home[j]) + ((i, home[j]) in visits) + ((j, home[i]) in visits) == 1
 
 
-@pytest.mark.parametrize("block", [2048, 50])
-def test_metric_join_in_blocks(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "cell", "least"), [(4096, 1024, 0), (50, 1024, 0), (50, 20, 2), (7, 20, 2), (4096, 5, 20)])
+def test_metric_join_in_cells_and_blocks(spark, monkeypatch, block, cell, least):
     monkeypatch.setattr(metric_join, "BLOCK", block)
+    monkeypatch.setattr(metric_join, "CELL", cell)
+    used = []
+    choose = metric_join.choose_pivots
+    monkeypatch.setattr(metric_join, "choose_pivots", lambda c: used.append(choose(c)) or used[0])
     x, _ = vectors(3, 200)
-    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    df = spark.createDataFrame([(i, v.tolist(), "ab"[i % 7 == 0]) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label string")
     u = metric_join.unit(x.astype(float))
-    want = (u @ u.T >= 0.8).sum(1) - 1
+    label = np.arange(200) % 7 == 0
+    linked = (u @ u.T >= 0.8) & (label[:, None] == label[None])
     got = metric_join.range_join(df, 0.8).orderBy("vec_id").toPandas()
-    assert got.n_links.tolist() == want.tolist()
+    assert got.n_links.tolist() == (linked.sum(1) - 1).tolist()
+    assert got.component_id.tolist() == brute_components(list(range(200)), linked)
+    assert sum(len(p) for p in used[0].values()) >= least and (least == 0) == (not used[0])
+
+
+def test_vectors_of_any_magnitude_link(spark):
+    v = [[3.0, 4.0, 0.5], [3.1, 4.0, 0.5]]
+    rows = [(10 * k + i, [c * s for c in w], 1) for k, s in enumerate((1.0, 1e200, 1e-200, 1e307)) for i, w in enumerate(v)]
+    got = metric_join.range_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).toPandas()
+    assert (got.n_links == 7).all() and (got.component_id == 0).all()
 
 
 def test_neighbours_recall_and_form(spark):
