@@ -117,6 +117,41 @@ def test_neighbours_recall_and_form(spark):
     assert neighbours.search(df.limit(0), df.vec_id % 50 == 0).count() == 0
 
 
+def brute_neighbours(x, queries, k=10):
+    out = {}
+    for q in queries:
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        out[q] = np.sort(d)[k - 1]
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_neighbours_recall_on_embeddings(spark, monkeypatch, small):
+    if small:  # many regions, blocks and lots of queries
+        monkeypatch.setattr(neighbours, "BLOCK", 90)
+        monkeypatch.setattr(neighbours, "QUERIES", 6)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.select("vec_id", "embedding").toPandas()
+    x, ids = np.array(rows.embedding.tolist(), float), rows.vec_id.to_numpy()
+    place = {v: k for k, v in enumerate(ids)}
+    queries = [v for v in ids if v % 20 == 0]
+    got = neighbours.search(df, df.vec_id % 20 == 0).toPandas()
+    edge = brute_neighbours(x, [place[q] for q in queries])
+    hit = sum(int((own.score.to_numpy() <= edge[place[q]] * (1 + 1e-12)).sum()) for q, own in got.groupby("query_id"))
+    assert got.groupby("query_id").size().eq(10).all() and got.query_id.nunique() == len(queries)
+    assert hit / (10 * len(queries)) >= 0.9
+
+
+def test_a_query_visits_only_part_of_the_buckets():
+    x = np.random.default_rng(3).normal(size=(4000, 32))
+    model = neighbours.Hashing(x, 1, 4000)
+    model.fit(x[:50], [x[k : k + 1] + 0.05 for k in range(50)])
+    visited = model.probes(x[:100], 0)
+    assert (visited.sum(1) >= 1).all() and visited.mean() < 0.2
+    assert visited[np.arange(100), model.buckets(x[:100], 0)].mean() > 0.9
+
+
 def test_neighbours_ties_and_few_candidates(spark):
     same = [(i, [1.0, 1.0, 0.5]) for i in range(30)] + [(100, [9.0, 9.0, 9.0]), (200, [1.0, 2.0]), (203, [2.0, 2.0])]
     df = spark.createDataFrame(same, "vec_id long, embedding array<double>")
