@@ -12,6 +12,13 @@ import re
 ABBREVIATIONS = set("mr mrs ms dr prof sr jr st vs etc inc ltd co corp e.g i.e fig no vol al u.s a.m p.m jan feb mar apr jun jul aug sep sept oct nov dec".split())
 BREAK = re.compile(r"([.?!]+)([\"')\]”’]*)(\s+)")
 
+#: Abbreviations whose full stop ends no sentence, ends of host names, and words that begin one.
+TITLES = ("Mr", "St", "Mrs", "Ms", "Dr")
+SUFFIXES = (" Inc", " Ltd", " Jr", " Sr", " Co")
+DOMAINS = ("com", "net", "org", "io", "gov", "edu", "me")
+TITLES_AND_MORE = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Capt", "Cpt", "Lt", "Wherever")
+OPENERS = ("He", "She", "It", "They", "Their", "Our", "We", "But", "However", "That", "This")
+
 
 def count_sentences(text: str) -> int:
     """Sentences by end marks; not after known abbreviations, initials or numbers before a small letter."""
