@@ -1,6 +1,7 @@
 """Secrets, personal data, licences, lines and quality against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -159,6 +160,42 @@ def test_wrapped_notices_and_whole_license_files(spark):
     assert [got[k] for k in range(len(rows))] == [r[0] for r in rows]
 
 
+def brute_license(passage):
+    """(license, score) of a passage by TF-IDF cosine with every template, in plain Python."""
+    idf = licenses.inverse_frequencies()
+    unseen = max(idf.values())
+    words = re.findall("[a-z0-9]+", passage.lower())
+    own = {w: (1 + math.log(words.count(w))) * idf.get(w, unseen) for w in set(words)}
+    length = math.sqrt(sum(x * x for x in own.values()))
+    dot = {}
+    for name, term, weight in licenses.template_weights():
+        dot[name] = dot.get(name, 0.0) + weight * own.get(term, 0.0)
+    best = max(dot, key=lambda n: (n.endswith("#full") and round(dot[n] / length, 9) >= licenses.FULL, round(dot[n] / length, 9), -licenses.ORDER.index(n.split("#")[0])))
+    return best.split("#")[0], round(dot[best] / length, 9)
+
+
+def test_license_scores_equal_brute_force(spark):
+    rng = random.Random(6)
+    pool = [w for ts in licenses.TEMPLATES.values() for t in ts for w in t.split()] + "some other words that no notice has".split()
+    passages = ["license " + " ".join(rng.choice(pool) for _ in range(rng.randint(1, 30))) for _ in range(150)] + [t for ts in licenses.TEMPLATES.values() for t in ts]
+    df = spark.createDataFrame(list(enumerate(passages)), "h1 long, passage string").withColumn("h2", F.col("h1"))
+    got = {r["h1"]: (r["m"]["license"], r["m"]["score"]) for r in licenses.match_passages(df).select("h1", licenses.decode(F.col("match")).alias("m")).collect()}
+    for k, p in enumerate(passages):
+        name, score = brute_license(p)
+        assert math.isclose(got[k][1], score, abs_tol=2e-9) and (got[k][0] == name or math.isclose(brute_license(p)[1], got[k][1], abs_tol=2e-9)), p
+
+
+def test_license_ties_long_texts_and_clashing_columns(spark):
+    notice = "Released under the MIT License."
+    long = "word " * 200_000 + "\n" + notice + "\n" + "more words here " * 100_000
+    rows = [(1, "a/LICENSE", notice), (2, "a/COPYING", notice), (3, "a/b/c.py", "x"), (4, "a/long.txt", long), (5, "", ""), (6, "/", None), (None, "a/d.py", "y")]
+    df = spark.createDataFrame([(*r, "q", 0.5, 7) for r in rows], "doc_id long, path string, text string, license string, score double, row int").repartition(3)
+    got = {r["doc_id"]: (r["license"], r["origin"], r["license_path"]) for r in licenses.scan(df, "doc_id", "path").collect()}
+    # two files of equal score in one directory: the earlier name gives the licence
+    assert got[3] == ("MIT", "inherited", "a/COPYING") and got[None] == ("MIT", "inherited", "a/COPYING")
+    assert got[4] == ("MIT", "own", None) and got[5][0] is None and got[6][0] is None and len(got) == 7
+
+
 def test_quality_on_held_out_labels(spark):
     base = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{base}/documents.parquet")
