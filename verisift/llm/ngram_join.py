@@ -39,6 +39,8 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-6
 MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64)
 MIX[1] |= np.uint64(1)
+#: Text bytes that are hashed together; the arrays take some forty times as much.
+SLICE_BYTES = 2 << 20
 #: Distinct shingles that a block pair multiplies at a time.
 COLUMNS = 4096
 #: Size of the filter that texts pass before they are sent, in 64-bit words, and its hash functions.
@@ -219,7 +221,7 @@ def classified(df: DataFrame, threshold: float, id_col: str, text_col: str) -> D
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in bpe.batch_slices(batch.column(3)):
+            for lo, hi in bpe.batch_slices(batch.column(3), SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
                 value, offset = shingles(part.column(3))
                 band = band_keys(signatures(value, offset))
@@ -250,7 +252,7 @@ def classified(df: DataFrame, threshold: float, id_col: str, text_col: str) -> D
     def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(passes(table, [batch.column(3 + k).to_numpy() for k in range(FILTER_HASHES)])))
-            for lo, hi in bpe.batch_slices(batch.column(2)):
+            for lo, hi in bpe.batch_slices(batch.column(2), SLICE_BYTES):
                 rows = batch.slice(lo, hi - lo)
                 value, offset = shingles(rows.column(2))
                 sig = signatures(value, offset)

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 from verisift.llm import bpe, scratch
 
+#: Text bytes that are encoded together; ids and arrays take some forty times as much.
+SLICE_BYTES = 2 << 20
 #: Remainders that one group packs, on average. A group is one task's work and stays small at any input size.
 GROUP_ROWS = 8192
 #: Sequences are numbered within a group below this, groups above.
@@ -141,7 +143,7 @@ def pack_documents(df: DataFrame, path: str, ranks_path: str, capacity: int = 20
         encoder = piece_ids(path, ranks_path)
         for batch in batches:
             ids, places, texts = batch.column(0), batch.column(1), batch.column(2)
-            for lo, hi in bpe.batch_slices(texts):
+            for lo, hi in bpe.batch_slices(texts, SLICE_BYTES):
                 tokens, offset = encode_slice(texts.slice(lo, hi - lo), encoder)
                 size = np.diff(offset) + 1
                 n_pieces = -(-size // capacity)

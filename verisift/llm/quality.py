@@ -33,7 +33,7 @@ from verisift.llm import bpe, scratch
 #: Size of the hashed feature space; documents that the scorer is fitted on, at most about.
 DIMS, TRAIN_DOCS = 1024, 8000
 #: Text bytes that are measured together; the arrays take some thirty times as much.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Statistics: words, and shares of the text or its words.
 STATS = ["n", "caps", "symbol", "distinct", "repeat", "length", "short", "stops", "bare"]
 #: Labellers: statistic, the range that votes good, the ranges beyond which it votes bad, words needed.
