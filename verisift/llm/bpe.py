@@ -19,6 +19,7 @@ with null or repeated ids are kept, one result each; other columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import os
@@ -443,6 +444,14 @@ def batch_slices(texts: pa.Array, limit: int = SLICE_BYTES):
         lo = hi
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, so that workers that wait for their next task stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts together, and offsets by text; null as empty."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -531,6 +540,7 @@ def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 else:
                     cols += [pa.array(_hex_of_lists(w, tokens, offset), pa.string()) for w in (id_words, names)]
                     yield pa.RecordBatch.from_arrays(cols, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        give_back()
 
     kind = df.schema[id_col].dataType.simpleString()
     rest = "ids array<int>, decoded string" if keep_ids else "ids_sha256 string, decoded_sha256 string"

@@ -228,6 +228,7 @@ def classified(df: DataFrame, threshold: float, id_col: str, text_col: str) -> D
                 full = np.diff(offset) > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(full * BANDS)].astype(np.int32)), pa.array(band[full].ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], lists], ["id", "h1", "h2", "keys"])
+        bpe.give_back()
 
     known = docs.select("id", "h1", "h2", "text").mapInArrow(keys, f"id {kind}, h1 bigint, h2 bigint, keys array<bigint>")
     known = scratch.stored(known, "band_keys")
@@ -258,6 +259,7 @@ def classified(df: DataFrame, threshold: float, id_col: str, text_col: str) -> D
                 sig = signatures(value, offset)
                 sets = [np.unique(value[offset[k] : offset[k + 1]]).tobytes() for k in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(sets, pa.binary())], ["h1", "h2", "sig", "sets"])
+        bpe.give_back()
 
     wanted = docs.where(F.col("id").isNotNull()).select("h1", "h2", "text", *[F.shiftrightunsigned(F.xxhash64(F.lit(k), "h1"), 40).alias(f"p{k}") for k in range(FILTER_HASHES)])
     texts = wanted.mapInArrow(shred, "h1 bigint, h2 bigint, sig binary, sets binary")

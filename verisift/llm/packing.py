@@ -159,6 +159,7 @@ def pack_documents(df: DataFrame, path: str, ranks_path: str, capacity: int = 20
                     crc[k] = zlib.crc32(tokens[offset[r] + s : offset[r] + s + n - last].tobytes() + (end if last else b""))
                 cols = [ids.slice(lo, hi - lo).take(pa.array(row)), places.slice(lo, hi - lo).take(pa.array(row)), *map(pa.array, (start, length, crc, size[row]))]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "place", "start", "length", "ids_crc32", "doc_tokens"])
+        bpe.give_back()
 
     placed = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("place"), F.col(text_col).cast("string").alias("text"))
     pieces = placed.mapInArrow(cut, f"id {kind}, place bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")

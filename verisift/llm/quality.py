@@ -185,6 +185,7 @@ def train(df: DataFrame, text_col: str = "text", n_docs: int = TRAIN_DOCS) -> np
                 chosen = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 dense = [features[k].tobytes() if c and stats[k, 0] else None for k, c in enumerate(chosen)]
                 yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(dense, pa.binary()), pa.array(stats[:, 0] > 0)], ["pattern", "features", "any"])
+        bpe.give_back()
 
     chosen = F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
     voted = scratch.stored(df.select(F.col(text_col).cast("string").alias("t"), chosen.alias("c")).mapInArrow(vote, "pattern bigint, features binary, any boolean"), "quality_votes")
@@ -217,6 +218,7 @@ def classify(df: DataFrame, text_col: str = "text", threshold: float = 0.5, weig
                 p = 1 / (1 + np.exp(-np.clip(features @ weights[:-1] + weights[-1], -30, 30).astype(float)))
                 p[stats[:, 0] == 0] = 0.0
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array((p >= threshold) & (stats[:, 0] > 0))], [*names, "score", "keep"])
+        bpe.give_back()
 
     schema = T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("keep", T.BooleanType())])
     return base.mapInArrow(score, schema)
