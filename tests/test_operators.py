@@ -35,7 +35,7 @@ def test_anti_and_semi_join_make_the_whole(spark):
     right = spark.createDataFrame([("X",), ("",), ("z z",)], "k string")
     out = relational.anti_join_normalized(left, right, "k", "k")
     assert sorted(values(out, "i")) == [(1,), (3,)]
-    assert sorted(values(relational.anti_join_normalized(left, right, "k", "k", lower=True, hashed=True), "i")) == [(3,)]
+    assert sorted(values(relational.anti_join_normalized(left, right, "k", "k", lower=True), "i")) == [(3,)]
 
 
 def test_last_wins_and_fallback(spark):

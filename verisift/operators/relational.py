@@ -7,24 +7,32 @@ the order of files or partitions.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from verisift.functions import text as T
+from verisift.sources import folders
 
 
 def with_row_idx(df: DataFrame, order: list[str] | None = None, name: str = "_row_idx") -> DataFrame:
     """df with a contiguous index from 0: by order if given (ties must not matter), else in the order of the input.
 
-    Indices are built from the sizes of partitions; no single task sees all rows.
+    The rows are stored with their partition and place; an index is the place plus the
+    sizes of the partitions before, of which there is one row each.
     """
-    if order:
-        df = df.sort(*order)
-    schema = StructType([*df.schema.fields, StructField(name, LongType())])
-    indexed = df.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    return df.sparkSession.createDataFrame(indexed, schema)
+    rows = (df.sort(*order) if order else df).withColumn("_place", F.monotonically_increasing_id())
+    rows = folders.stored(rows, "row_index")
+    part = F.shiftright("_place", 33)
+    sizes = {r["p"]: r["count"] for r in rows.groupBy(part.alias("p")).count().collect()}
+    before, starts = 0, []
+    for p in sorted(sizes):
+        starts.append((p, before))
+        before += sizes[p]
+    first = df.sparkSession.createDataFrame(starts, "_part long, _first long")
+    out = rows.withColumn("_part", part).join(F.broadcast(first), "_part")
+    return out.select(*df.columns, (F.col("_first") + F.col("_place").bitwiseAND((1 << 33) - 1)).alias(name))
 
 
 def first_wins(df: DataFrame, keys: list[str | Column], order: list[str]) -> DataFrame:
@@ -45,10 +53,9 @@ def dedup_texts(df: DataFrame, text: str, order: list[str]) -> DataFrame:
     return first_wins(df, [F.sha1(T.normalize(F.col(text)))], order)
 
 
-def anti_join_normalized(left: DataFrame, right: DataFrame, left_key: str, right_key: str, lower: bool = False, hashed: bool = False) -> DataFrame:
-    """Rows of left whose normalised key is in no row of right; null and empty are one key."""
-    norm = lambda c: T.normalize(F.col(c), lower)
-    key = (lambda c: F.sha2(norm(c), 256)) if hashed else norm
+def anti_join_normalized(left: DataFrame, right: DataFrame, left_key: str, right_key: str, lower: bool = False) -> DataFrame:
+    """Rows of left whose normalised key is in no row of right; null and empty are one key. SHA-256 of keys, not keys, are shuffled."""
+    key = lambda c: F.unhex(F.sha2(T.normalize(F.col(c), lower), 256))
     seen = right.select(key(right_key).alias("_key")).distinct()
     return left.withColumn("_key", key(left_key)).join(seen, "_key", "left_anti").drop("_key")
 
@@ -91,22 +98,28 @@ def contradictory(label: Column) -> Column:
     return F.coalesce(low.contains("contradictory") & ~low.contains("not"), F.lit(False))
 
 
-def split_exact(df: DataFrame, key: list[str], share: float, seed: int = 42) -> DataFrame:
-    """df with is_test: exactly ceil(n * share) rows, those with the smallest MD5 of seed and key.
+def drawn(df: DataFrame, key: list[str], want: Callable[[int], int], seed: int = 42, name: str = "_draw") -> DataFrame:
+    """df with its place in a random draw without replacement, 1 to want(rows); null for rows that are not drawn.
 
-    The rank of a row is its rank within one of 4096 hash ranges plus the sizes of the
-    ranges before, so no task sorts all rows. Keys should be unique; equal ones share a hash.
+    The draw goes by the MD5 of seed and key. The rank of a row is its rank within one of
+    4096 hash ranges plus the sizes of the ranges before, so no task sorts all rows.
+    Keys should be unique; equal ones share a hash.
     """
     rows = df.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))).withColumn("_range", F.substring("_h", 1, 3))
     sizes = {r["_range"]: r["count"] for r in rows.groupBy("_range").count().collect()}  # at most 4096 rows
-    want = math.ceil(sum(sizes.values()) * share - 1e-9)
-    limits = []
-    for name in sorted(sizes):
-        limits.append((name, max(0, min(want, sizes[name]))))
-        want -= sizes[name]
-    limit = df.sparkSession.createDataFrame(limits, "_range string, _limit long")
+    n, before, limits = want(sum(sizes.values())), 0, []
+    for part in sorted(sizes):
+        limits.append((part, before, n - before))
+        before += sizes[part]
+    limit = df.sparkSession.createDataFrame(limits, "_range string, _before long, _limit long")
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy("_h", *key))).join(F.broadcast(limit), "_range")
-    return ranked.withColumn("is_test", F.col("_rank") <= F.col("_limit")).drop("_h", "_range", "_rank", "_limit")
+    return ranked.withColumn(name, F.when(F.col("_rank") <= F.col("_limit"), F.col("_before") + F.col("_rank"))).drop("_h", "_range", "_rank", "_before", "_limit")
+
+
+def split_exact(df: DataFrame, key: list[str], share: float, seed: int = 42) -> DataFrame:
+    """df with is_test: exactly ceil(n * share) rows, those with the smallest MD5 of seed and key."""
+    marked = drawn(df, key, lambda n: math.ceil(n * share - 1e-9), seed)
+    return marked.withColumn("is_test", F.col("_draw").isNotNull()).drop("_draw")
 
 
 def round_robin(df: DataFrame, index: int, total: int, order: str = "_row_idx") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import ArrayType, BooleanType
 
 from verisift.functions import checkers
 from verisift.operators.constraints import DYNAMIC_PATTERN, REGISTRY
@@ -48,48 +48,76 @@ def ground_truth(df: DataFrame) -> Column:
     return F.from_json(F.coalesce(*named), GROUND_TRUTH)
 
 
+def constraint_pairs(truth: Column) -> Column:
+    """(constraint_id, kwargs) of a ground truth in order; ids and parameters of a group pair up to the shorter list."""
+
+    def group(g: Column) -> Column:
+        n = F.least(F.size(g["instruction_id"]), F.size(g["kwargs"]))
+        return F.zip_with(F.slice(g["instruction_id"], 1, n), F.slice(g["kwargs"], 1, n), lambda i, k: F.struct(i.alias("constraint_id"), k.alias("kwargs")))
+
+    return F.flatten(F.transform(truth, group))
+
+
 def explode_constraints(df: DataFrame, truth: Column) -> DataFrame:
-    """One row for each constraint: pos, constraint_id, kwargs (JSON). Ids and parameters pair up to the shorter list."""
-    pairs = F.flatten(F.transform(truth, lambda g: F.zip_with(F.slice(g["instruction_id"], 1, F.least(F.size(g["instruction_id"]), F.size(g["kwargs"]))), F.slice(g["kwargs"], 1, F.least(F.size(g["instruction_id"]), F.size(g["kwargs"]))), lambda i, k: F.struct(i.alias("constraint_id"), k.alias("kwargs")))))
-    return df.select("*", F.posexplode(pairs).alias("pos", "_c")).select(*df.columns, "pos", "_c.constraint_id", "_c.kwargs")
+    """One row for each constraint: pos, constraint_id, kwargs (JSON)."""
+    return df.select("*", F.posexplode(constraint_pairs(truth)).alias("pos", "_c")).select(*df.columns, "pos", "_c.constraint_id", "_c.kwargs")
 
 
-def _native(id_: str) -> bool:
-    return id_ in REGISTRY and REGISTRY[id_].native and id_ not in DYNAMIC_PATTERN
+def _native_ids(ids: list[str] | None) -> list[str]:
+    return [c for c in (ids or sorted(REGISTRY)) if c in REGISTRY and REGISTRY[c].native and c not in DYNAMIC_PATTERN]
 
 
-def check_rows(rows: DataFrame, response: str, ids: list[str] | None = None) -> DataFrame:
-    """rows (with constraint_id, kwargs) plus followed.
+def _inside(id_: Column, native: list[str]) -> Column:
+    return F.coalesce(id_.isin(native), F.lit(False)) if native else F.lit(False)
 
-    Constraints whose check is native and safe for parameters from data stay in the
-    JVM; only the others go through Python. ids limits the native branch to ids that may occur.
-    """
-    native = [c for c in (ids or sorted(REGISTRY)) if _native(c)]
+
+def native_result(id_: Column, kwargs: Column, response: Column, native: list[str]) -> Column:
+    """The result of the native check of that id; false for other ids."""
     result = F.lit(False)
     for c in native:
         params = REGISTRY[c].params
-        parsed = F.from_json(F.coalesce("kwargs", F.lit("{}")), REGISTRY[c].ddl) if params else None
-        ok = REGISTRY[c].follows(F.col(response), **{p: parsed[p] for p in params})
-        result = F.when(F.col("constraint_id") == c, ok).otherwise(result)
-    inside = F.col("constraint_id").isin(native) if native else F.lit(False)
-    inside = F.coalesce(inside, F.lit(False))
-    fast = rows.where(inside).withColumn("followed", result)
-    slow = rows.where(~inside).withColumn("followed", check_with_python("constraint_id", response, "kwargs"))
-    return fast.unionByName(slow)
+        parsed = F.from_json(F.coalesce(kwargs, F.lit("{}")), REGISTRY[c].ddl) if params else None
+        ok = REGISTRY[c].follows(response, **{p: parsed[p] for p in params})
+        result = F.when(id_ == c, ok).otherwise(result)
+    return result
+
+
+def check_rows(rows: DataFrame, response: str, ids: list[str] | None = None) -> DataFrame:
+    """rows (with constraint_id, kwargs) plus followed, in one pass.
+
+    Constraints whose check is native and safe for parameters from data stay in the
+    JVM; for them Python gets nulls only. ids limits the native branch to ids that may occur.
+    """
+    native = _native_ids(ids)
+    inside = _inside(F.col("constraint_id"), native)
+    other = [F.when(~inside, F.col(c)) for c in ("constraint_id", response, "kwargs")]
+    result = native_result(F.col("constraint_id"), F.col("kwargs"), F.col(response), native)
+    return rows.withColumn("followed", F.when(inside, result).otherwise(check_with_python(*other)))
+
+
+@F.pandas_udf(ArrayType(BooleanType()))
+def check_list_with_python(ids: pd.Series, response: pd.Series, kwargs: pd.Series) -> pd.Series:
+    """check_with_python for a list of constraints of one response; a null id is no constraint and gives null."""
+    none = [None] * 3
+    return pd.Series([None if i is None else [None if c is None else checkers.check_json(c, r, k) for c, k in zip(i, none if p is None else p, strict=False)] for i, r, p in zip(ids, response, kwargs, strict=True)])
 
 
 def verify(df: DataFrame, key: str, response: str, ids: list[str] | None = None) -> DataFrame:
-    """key, individual_results (in the order of the ground truth), verification_passed, constraint_results size as n_constraints.
+    """key, individual_results (in the order of the ground truth), verification_passed.
 
-    A row without constraints passes with no results; key must be unique.
+    Every row is judged where it is: native checks in the JVM, the others in one Arrow
+    batch pass that gets nulls for rows without them. A row without constraints passes with no results.
     """
-    base = df.withColumn("_truth", ground_truth(df))
-    rows = explode_constraints(base.select(F.col(key), F.col(response).alias("_response"), "_truth"), F.col("_truth")).drop("_truth")
-    checked = check_rows(rows, "_response", ids)
-    results = checked.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "followed"))), lambda r: r["followed"]).alias("individual_results"))
-    out = df.select(key).join(results, key, "left")
-    each = F.coalesce("individual_results", F.array().cast("array<boolean>"))
-    return out.select(key, each.alias("individual_results"), F.forall(each, lambda b: b).alias("verification_passed"))
+    native = _native_ids(ids)
+    base = df.select(F.col(key), F.col(response).alias("_response"), ground_truth(df).alias("_truth"))
+    base = base.withColumn("_pairs", F.coalesce(constraint_pairs(F.col("_truth")), F.array().cast("array<struct<constraint_id:string,kwargs:string>>"))).drop("_truth")
+    some = F.exists("_pairs", lambda c: ~_inside(c["constraint_id"], native))
+    other = F.transform("_pairs", lambda c: F.when(~_inside(c["constraint_id"], native), F.coalesce(c["constraint_id"], F.lit(""))))
+    asked = [F.when(some, c) for c in (other, F.col("_response"), F.transform("_pairs", lambda c: c["kwargs"]))]
+    base = base.withColumn("_python", check_list_with_python(*asked))
+    each = F.transform("_pairs", lambda c, i: F.coalesce(F.when(_inside(c["constraint_id"], native), native_result(c["constraint_id"], c["kwargs"], F.col("_response"), native)).otherwise(F.get("_python", i)), F.lit(False)))
+    out = base.select(key, each.alias("individual_results"))
+    return out.select(key, "individual_results", F.forall("individual_results", lambda b: b).alias("verification_passed"))
 
 
 def verification_stats(verified: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def anti_join_normalized(spark, sf_dir):
 @query(f"WITH r AS (SELECT DISTINCT sha256({_NORM}) AS k FROM benchmark) SELECT doc_id FROM documents WHERE sha256({_NORM}) NOT IN (SELECT k FROM r)")
 def anti_join_hashed(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return relational.anti_join_normalized(docs, table(spark, sf_dir, "benchmark"), "text", "text", lower=True, hashed=True).select("doc_id")
+    return relational.anti_join_normalized(docs, table(spark, sf_dir, "benchmark"), "text", "text", lower=True).select("doc_id")
 
 
 @query("SELECT source_path, count(*) AS n, count(role) AS n_role FROM (SELECT 'documents' AS source_path, NULL AS role FROM documents UNION ALL SELECT 'benchmark', NULL FROM benchmark UNION ALL SELECT 'conversations', role FROM conversations) GROUP BY 1")

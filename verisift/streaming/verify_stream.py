@@ -23,10 +23,10 @@ def drop_repeats(stream: DataFrame, text: str, event_time: str, delay: str = "1
     return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
-def constraint_rate(stream: DataFrame, event_time: str, width: str = "10 minutes", delay: str = "1 hour") -> DataFrame:
+def constraint_rate(stream: DataFrame, event_time: str, width: str = "10 minutes", delay: str = "1 hour", ids: list[str] | None = None) -> DataFrame:
     """Share of followed constraints by event-time window and constraint: stateless checks, then a windowed count."""
     rows = verify.explode_constraints(stream.withWatermark(event_time, delay), verify.ground_truth(stream))
-    checked = rows.withColumn("followed", verify.check_with_python("constraint_id", "response", "kwargs"))
+    checked = verify.check_rows(rows, "response", ids)
     return checked.groupBy(F.window(event_time, width), "constraint_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("followed").alias("n_followed"))
 
 
