@@ -42,6 +42,34 @@ def grade_rollouts(rollouts: DataFrame, key: str = "key", ids: list[str] | None
     return rewards.roll_up(joined.withColumns({c: F.coalesce(c, F.array().cast(t)) for c, t in kinds.items()}))
 
 
+def with_checklist(rollouts: DataFrame, checklists: DataFrame, dataset: str, index: str = "_row_idx") -> tuple[DataFrame, DataFrame]:
+    """(rollouts (key, instruction, responses) with the checklist of their key, the rollouts without one).
+
+    A checklist row's key is its example key; rows without a checklist do not count, and the
+    last row of a key does. A rollout without an instruction takes the checklist row's.
+    """
+    kinds = dict(checklists.dtypes)
+    own = [F.when(T.truthy(F.col(c), kinds[c]), F.col(c)) for c in ("raw_instruction", "instruction") if c in kinds]
+    side = checklists.where(T.truthy(F.col("checklist"), kinds["checklist"]))
+    side = side.select(T.example_key(checklists, dataset, index).alias("key"), F.col(index).alias("_i"), "checklist", F.coalesce(*own, F.lit(None).cast("string")).alias("_instruction"))
+    # the last checklist and the last instruction of a key, which may come from different rows
+    side = side.groupBy("key").agg(F.max_by("checklist", "_i").alias("checklist"), F.max_by("_instruction", F.when(F.col("_instruction").isNotNull(), F.col("_i"))).alias("_instruction"))
+    given = F.when(F.col("instruction") != "", F.col("instruction"))
+    joined = rollouts.join(side, "key").withColumn("instruction", F.coalesce(given, "_instruction", F.lit(""))).drop("_instruction")
+    return joined, rollouts.join(side.select("key"), "key", "left_anti")
+
+
+def with_results(dataset: DataFrame, results: DataFrame, columns: list[str], key: str = "key") -> DataFrame:
+    """dataset LEFT JOIN the last result of each key, with has_result."""
+    side = relational.last_wins(results.where(F.col(key).isNotNull()).select(key, "_row_idx", *columns), [key], "_row_idx").drop("_row_idx")
+    return dataset.join(side.withColumn("has_result", F.lit(True)), key, "left").withColumn("has_result", F.coalesce("has_result", F.lit(False)))
+
+
+def result_counts(joined: DataFrame) -> DataFrame:
+    """One row: total_rows, rows_with_results, missing_results."""
+    return joined.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("has_result").alias("rows_with_results"), F.count_if(~F.col("has_result")).alias("missing_results"))
+
+
 def append_scores(dataset: DataFrame, graded: DataFrame, key: str = "key") -> DataFrame:
     """dataset plus scores, soft_rewards, hard_rewards and verifiable_has_variance; empty lists and 0 where ungraded."""
     side = graded.select(key, "scores", F.transform("passed", lambda p: p.cast("int")).alias("hard_rewards"))

@@ -20,12 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verisift.functions import replies
+from verisift.functions import text as T
 from verisift.operators import reshape
 
 #: A client takes messages and settings and returns one or more reply texts.
 Client = Callable[[list[dict], dict], list[str]]
 #: Replies with these words are refusals.
 REFUSALS = ["please provide", "to assist you", "as an ai language model"]
+#: Seconds to wait before each retry.
+WAITS = {"reasoner": (5, 10), "chat": (5, 10, 30, 60, 120), "plain": ()}
 CACHE = "cache_key string, replies array<string>"
 
 
@@ -60,6 +63,14 @@ class HttpClient:
         return []
 
 
+def provider(kind: str, url: str, model: str, api_key: str | None = None) -> HttpClient:
+    """A client with the retry plan of a kind: reasoner (two retries), chat (five, longer and longer) or plain (none)."""
+    if kind not in WAITS:
+        raise ValueError(f"unknown kind of provider: {kind}")
+    headers = {"Authorization": f"Bearer {api_key}"} if api_key else {}
+    return HttpClient(url, model, headers, waits=WAITS[kind])
+
+
 def _texts(value) -> list[str]:
     """Reply texts in a response of unknown form: choices, then the usual field names, at any depth."""
     if isinstance(value, str):
@@ -167,3 +178,31 @@ def rollouts(df: DataFrame, client: Client, n: int = 16, **options) -> tuple[Dat
     settings = {"n": n} | options.pop("settings", {})
     asked, fresh = call(df.withColumn("_m", reshape.build_messages(F.col("instruction"))), "_m", client, settings=settings, **options)
     return asked.select("key", "instruction", F.col("replies").alias("responses")), fresh
+
+
+def analyze_quality(m1: DataFrame, m2: DataFrame | None, template: str, client: Client, system: str | None = None, merged: bool = False, order: str = "_row_idx", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(idx, m1_analysis, m2_analysis; failures: reason, count; rows to add to the cache).
+
+    Both sides have an index, instruction and responses; the first response of each is judged by
+    itself. A side that fails has no issues and empty notes; rows where no side succeeds are left out.
+    """
+    sides = [("m1", m1)] + ([("m2", m2)] if m2 is not None else [])
+    parts = []
+    for name, df in sides:
+        response = F.coalesce(F.get("responses", F.lit(0)), F.lit(""))
+        parts.append(df.select(F.col(order).alias("idx"), F.lit(name).alias("side"), F.coalesce("instruction", F.lit("")).alias("instruction"), response.alias("response")))
+    if m2 is not None:
+        # the first model's instruction is the one that both are judged by
+        parts[1] = parts[1].drop("instruction").join(parts[0].select("idx", "instruction"), "idx").select(*parts[0].columns)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    reason = F.when(F.col("instruction") == "", "empty_instruction").when(F.col("response") == "", "empty_response")
+    prompt = reshape.fill_template(template, {"instruction": F.col("instruction"), "response": F.col("response")})
+    rows = rows.withColumn("reason", reason).withColumn("_m", reshape.build_messages(prompt, F.lit(system) if system is not None else None, merged))
+    asked, fresh = call(rows.where(F.col("reason").isNull()), "_m", client, **options)
+    judged = asked.withColumn("reply", T.strip(F.coalesce(F.get("replies", F.lit(0)), F.lit("")))).withColumn("a", replies.quality_analysis("reply"))
+    judged = judged.withColumn("reason", F.when(F.col("reply") == "", "empty_reply").when(F.col("a.notes").isNull(), "json_parse_fail")).select("idx", "side", "reason", "a")
+    every = judged.unionByName(rows.where(F.col("reason").isNotNull()).select("idx", "side", "reason", F.lit(None).cast(replies.ANALYSIS).alias("a")))
+    empty = F.struct(*[F.lit(0).alias(d) for d in replies.DIMENSIONS], F.lit("").alias("notes"))
+    picked = {f"{s}_analysis": F.coalesce(F.any_value(F.when((F.col("side") == s) & F.col("reason").isNull(), F.col("a")), F.lit(True)), empty) for s, _ in sides}
+    done = every.groupBy("idx").agg(*[c.alias(n) for n, c in picked.items()], F.count_if(F.col("reason").isNull()).alias("_ok"))
+    return done.where(F.col("_ok") > 0).drop("_ok"), every.where(F.col("reason").isNotNull()).groupBy("reason").count(), fresh

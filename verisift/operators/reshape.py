@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +119,32 @@ def review_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def review_rewards(records: DataFrame, graded: DataFrame, soft: str = "soft_rewards", hard: str = "hard_rewards", index: str = "_row_idx") -> DataFrame:
+    """records LEFT JOIN the soft and hard rewards of graded rows by their own key; empty lists where there are none, and the last row of a key counts."""
+    from verisift.operators.relational import last_wins
+
+    kinds = dict(graded.dtypes)
+    own = [F.when(T.truthy(F.col(c), kinds[c]), F.col(c).cast("string")) for c in ("id", "uuid", "key", "idx", "index") if c in kinds]
+    side = graded.select(F.coalesce(*own, F.lit(None).cast("string")).alias("key"), F.col(index).alias("_i"), *[(F.col(c) if c in kinds else F.array()).cast(t).alias(n) for c, n, t in ((soft, "soft_rewards", "array<double>"), (hard, "hard_rewards", "array<int>"))])
+    side = last_wins(side.where(F.col("key").isNotNull()), ["key"], "_i").drop("_i")
+    out = records.drop("soft_rewards", "hard_rewards").join(side, "key", "left")
+    return out.withColumns({"soft_rewards": F.coalesce("soft_rewards", F.array().cast("array<double>")), "hard_rewards": F.coalesce("hard_rewards", F.array().cast("array<int>"))})
+
+
+def column_instruction(df: DataFrame, field: str) -> Column:
+    """A column as an instruction: text as it is, or the first user message of a chat."""
+    return F.col(field) if dict(df.dtypes)[field] == "string" else first_message(F.col(field))
+
+
+def format_template(template: str, values: dict[str, Column]) -> Column:
+    """template with its {name} fields filled all at once: what a value holds is not filled again; {{ and }} are braces."""
+    parts = [(text, name) for text, name, _, _ in string.Formatter().parse(template)]
+    unknown = {name for _, name in parts if name is not None} - set(values)
+    if unknown:
+        raise KeyError(sorted(unknown)[0])
+    return F.concat(F.lit(""), *[c for text, name in parts for c in (F.lit(text), *([values[name]] if name is not None else []))])
+
+
 def cell(value: Column, width: int = 50) -> Column:
     """A value as one line of at most width characters."""
     x = F.replace(value.cast("string"), F.lit("\n"), F.lit("↵ "))

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from verisift.functions import replies
 from verisift.functions import text as T
 from verisift.operators import compare, generation, grading, model_calls, relational, reshape, rewards, verify
+from verisift.operators import constraints as C
 from verisift.plans import oracles as O
+from verisift.plans import stage_queries
 from verisift.plans.verify_queries import CASES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -406,7 +408,18 @@ def fill_template(spark, sf_dir):
 # --- generation and model calls
 
 
-@query()
+def _values(rows, *names: str) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(f"'{v}'" for v in r) + ")" for r in rows) + f") t({', '.join(names)})"
+
+
+_IDS = _values([(i,) for i in C.REGISTERED], "i")
+
+
+@query(f"""WITH ids AS (SELECT i FROM {_IDS}),
+edges AS (SELECT a, b FROM {_values([(a, b) for a, bs in generation.CONFLICTS.items() for b in bs], "a", "b")} UNION ALL SELECT i, i FROM ids
+  UNION ALL SELECT a, i FROM {_values([(a,) for a in generation.ALL_CONFLICT], "a")}, ids
+  UNION ALL SELECT x.a, i FROM (SELECT DISTINCT a FROM {_values([(a, b) for a, bs in generation.ALL_BUT.items() for b in bs], "a", "b")}) x, ids WHERE NOT EXISTS (SELECT 1 FROM {_values([(a, b) for a, bs in generation.ALL_BUT.items() for b in bs], "a2", "b2")} WHERE a2 = x.a AND b2 = i))
+SELECT a, b FROM edges UNION SELECT b, a FROM edges""")
 def conflict_graph(spark, sf_dir):
     return generation.conflict_table(spark)
 
@@ -416,7 +429,12 @@ def sample_constraints(spark, sf_dir):
     return generation.constrained_records(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "documents")
 
 
-@query()
+def _stub(prompt: str) -> str:
+    """What the offline client says to a prompt, after its thinking."""
+    return f"'reply ' || substr(sha256('0:' || {prompt}), 1, 8) || ': ' || array_to_string({O.words(prompt)}[1:12], ' ')"
+
+
+@query(f"WITH a AS (SELECT doc_id, {_stub(chr(39) + 'Add a constraint to: ' + chr(39) + ' || text')} AS p FROM documents), b AS (SELECT doc_id, {_stub(chr(39) + 'Is this consistent? ' + chr(39) + ' || p')} AS r FROM a) SELECT cast(doc_id AS STRING) AS key, CASE WHEN contains(lower(r), 'not contradictory') THEN 'Not Contradictory' WHEN contains(lower(r), 'contradictory') THEN 'Contradictory' END AS contradiction_label, trim(r) AS justification FROM b")
 def llm_stub_pipeline(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.col("text").alias("instruction"))
     augmented, _ = model_calls.augment(docs, "Add a constraint to: {instruction}", model_calls.stub_client)
@@ -425,9 +443,9 @@ def llm_stub_pipeline(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | stage_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB counts conditions in 128 bits; the queries count in 64."""
-    return {k: re.sub(r"count_if\(", "count(*) FILTER (WHERE ", v) for k, v in ORACLES.items()}
+    return {k: re.sub(r"count_if\(", "count(*) FILTER (WHERE ", v) for k, v in (ORACLES | stage_queries.ORACLES).items()}

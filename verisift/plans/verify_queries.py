@@ -49,6 +49,8 @@ NL = "concat('.', chr(10), chr(10))"
 TOKENS = f"regexp_extract_all(x, '{O.WORD}+')"
 STARS = "string_split_regex(x, '\\s?\\*\\*\\*\\s?')"
 GOLD = "['The', 'early', 'bird', 'catches', 'the', 'worm']"
+#: Words that a text shares with the paragraph, each as often as in both.
+SHARED = "list_sum(list_transform([struct_pack(w := 'the', n := 2), struct_pack(w := 'cat', n := 1), struct_pack(w := 'is', n := 1), struct_pack(w := 'on', n := 1), struct_pack(w := 'mat', n := 1), struct_pack(w := 'and', n := 1), struct_pack(w := 'it', n := 1), struct_pack(w := 'was', n := 1), struct_pack(w := 'there', n := 1)], lambda o: least(o.n, len(list_filter(p, lambda t: t = o.w))))) BETWEEN 4 AND 6"
 COPIED = EVEN.format("concat(' ', text, ' ')", "substr(text, 2)")
 SAME = f"lower({O.strip('x')}) = lower({O.strip('text')})"
 
@@ -88,12 +90,12 @@ CASES = [
     Case("punctuation:punctuation_exclamation", test="NOT contains(x, '!')"),
     Case("first_word:first_word_answer", {"first_word": "the"}, test="lower(p[1]) = 'the'", let=O.words("x")),
     Case("last_word:last_word_answer", {"last_word": "the"}, test=f"{O.bare('p[len(p)]')} = 'the'", let=O.words("x")),
-    Case("combination:repeat_prompt", {}, EVEN.format("text", "substr(text, 2)"), f"starts_with(lower({O.strip('x')}), lower({O.strip('substr(text, 1, 20)')}))", sql_params={"prompt_to_repeat": "substr(text, 1, 20)"}),
+    Case("combination:repeat_prompt", {}, EVEN.format("concat(text, ' and more')", "concat('so ', text)"), f"starts_with(lower({O.strip('x')}), lower({O.strip('text')}))", sql_params={"prompt_to_repeat": "text"}),
     Case("copy:copy", {}, COPIED, SAME, sql_params={"prompt_to_repeat": "text"}),
     Case("copy:copying_simple", {}, COPIED, SAME, sql_params={"prompt_to_repeat": "text"}),
     Case("copy:copying_multiple", {"N": 2}, f"concat(text, '******', {EVEN.format('text', 'substr(text, 2)')})", f"len(p) = 2 AND len(list_filter(p, lambda s: lower({O.strip('s')}) <> lower({O.strip('text')}))) = 0", "string_split(x, '******')", sql_params={"prompt_to_repeat": "text"}),
     Case("new:copy_span_idx", {"n_start": 3, "n_end": 12}, EVEN.format("substr(text, 4, 9)", "substr(text, 4, 10)"), f"lower({O.strip('x')}) = lower({O.strip('substr(text, 4, 9)')})", sql_params={"prompt_to_repeat": "text"}),
-    Case("copy:repeat_phrase", {"phrase": "The early bird catches the worm", "small_n": 2}, "CASE doc_id % 3 WHEN 0 THEN 'The early fish catches the worm. The late bird catches the worm' WHEN 1 THEN 'The early bird catches the worm and The early bird catches the worm' ELSE text END", f"len(p) = 2 AND len(list_filter(p, lambda f: len({O.words('f')}) <> 6 OR len(list_filter({O.words('f')}, lambda v, i: v <> {GOLD}[i])) > 1)) = 0 AND len(list_filter({O.words('p[len(p)]')}, lambda v, i: v <> {GOLD}[i])) = 1", "regexp_extract_all(x, 'The .*? worm')"),
+    Case("copy:repeat_phrase", {"phrase": "The early bird catches the worm", "small_n": 2}, "concat(text, CASE doc_id % 3 WHEN 0 THEN ' The early fish catches the worm. The late bird catches the worm' WHEN 1 THEN ' The early bird catches the worm and The early bird catches the worm' ELSE '' END)", f"len(p) = 2 AND len(list_filter(p, lambda f: len({O.words('f')}) <> 6 OR len(list_filter({O.words('f')}, lambda v, i: v <> {GOLD}[i])) > 1)) = 0 AND len(list_filter({O.words('p[len(p)]')}, lambda v, i: v <> {GOLD}[i])) = 1", "regexp_extract_all(x, 'The .*? worm')"),
     Case("detectable_format:json_format", {}, EVEN.format("concat('{\"a\": ', cast(doc_id AS STRING), '}')", "text"), "json_valid(x)"),
     # checks without a counterpart in SQL
     Case("detectable_format:sentence_hyphens", {}, "replace(text, '. ', '.-')"),
@@ -104,12 +106,12 @@ CASES = [
     Case("change_case:capital_word_frequency", {"capital_frequency": 2, "capital_relation": "at least"}),
     Case("change_case:english_capital", {}, "upper(text)"),
     Case("change_case:english_lowercase", {}, "lower(text)"),
-    Case("count:counting_composition", {"n_sent": 2, "n_words": 3}, "concat('A b. C d.', ' *** ', 'E f. G h.', ' *** ', 'I j. K l.')"),
+    Case("count:counting_composition", {"n_sent": 2, "n_words": 3}, "concat('A b. C d.', ' *** ', text, ' *** ', 'I j. K l.')"),
     Case("count:count_unique", {}, "text"),
     Case("keywords:keyword_specific_position", {"keyword": "the", "n": 1, "m": 2}),
     Case("keywords:start_end", {}),
-    Case("detectable_content:rephrase_paragraph", {"original_paragraph": "the cat is on the mat and it was there", "low": 4, "high": 6}),
+    Case("detectable_content:rephrase_paragraph", {"original_paragraph": "the cat is on the mat and it was there", "low": 4, "high": 6}, test=SHARED, let=f"list_transform({TOKENS}, lambda t: lower(t))"),
     Case("keywords:key_sentences", {"key_sentences": ["Of.", "The."], "num_sentences": 1}),
     Case("multi-turn:constrained_start", {"starter": "I think"}, EVEN.format("concat('I think ', text)", "text"), "regexp_matches(x, '(?m)^\\s*I think.*$')"),
-    Case("detectable_content:rephrase", {"original_message": "a *b* c"}, EVEN.format("'a *x* c'", "text")),
+    Case("detectable_content:rephrase", {"original_message": "a *b* c"}, EVEN.format("'a *x* c'", "text"), r"regexp_matches(x, '\*.*\*') AND regexp_replace(x, '\*.*\*', '', 'g') = 'a  c'"),
 ]
