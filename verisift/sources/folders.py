@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that stored has written and nobody has removed.
+STORED: dict[str, None] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir.
@@ -35,7 +38,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: its lineage ends there and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    STORED[path] = None
+    out._stored_at = path
+    return out
+
+
+def forget(table: DataFrame | SparkSession) -> None:
+    """Removes a table that ``stored`` has written, or, given a session, all of them. Nothing may read them any more."""
+    spark = table if isinstance(table, SparkSession) else table.sparkSession
+    for path in list(STORED) if isinstance(table, SparkSession) else [table._stored_at]:
+        remove(spark, path)
+        STORED.pop(path, None)
 
 
 def remove(spark: SparkSession, path: str) -> None:
