@@ -38,3 +38,22 @@ def test_run_and_registration(spark):
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() >= pq.read_table(DOCS).num_rows * 0.5
+
+
+PROSE = "The old mill stood by the river and the people of the village came there every morning to trade their corn for bread and salt. "
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path):
+    rows = [(k, PROSE + f"Number {k} of them said that the price was fair, and the others agreed with that view in the end. " * (k + 1), "en", "s", 1) for k in range(12)]
+    rows += [(3, rows[3][1], "en", "s", 1), (3, rows[3][1], "en", "s", 1), (50, None, None, None, None), (51, "", "en", "s", 0), (52, "\n" * 300_000, "en", "s", 1), (None, PROSE * 3, "en", "s", 1)]
+    rows += [(60, "mail user1@mail.com " * 5000 + PROSE * 200, "en", "s", 1), (61, "x" * 200_000 + " " + PROSE * 3000, "en", "s", 1)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    more = "_id long, h1 long, rep long, score double, keep boolean, base string, spans string, row long, n_lines long, place long"
+    df = spark.createDataFrame([(*r, *[1] * 3, 0.5, True, "b", "s", *[1] * 3) for r in rows], f"{kind}, {more}").repartition(3)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    per_doc = out.groupby("doc_id").length.sum()
+    assert set(range(12)) <= set(per_doc.index) and not {50, 51, 52} & set(per_doc.index)
+    assert (out.groupby("sequence_id").length.sum() <= 2048).all()
+    df.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

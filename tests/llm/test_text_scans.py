@@ -6,6 +6,7 @@ import random
 import re
 import textwrap
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,3 +211,54 @@ def test_quality_edges(spark):
     got = {r["doc_id"]: r for r in quality.classify(df).collect()}
     assert not got[1]["keep"] and not got[2]["keep"] and not got[3]["keep"] and got[1]["score"] == 0.0 and len(got) == 5
     assert quality.classify(df.limit(0)).count() == 0
+
+
+def test_line_dedup_takes_ids_of_any_order_and_leaves_nothing_behind(spark):
+    rows = [(f"id{k:03d}", f"a line that all have\nown line number {k}") for k in range(40)] + [("id000", "a line that all have\nown line number 0"), (None, "a line that all have")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = {(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {(i, t if i in ("id000", None) else t.split("\n")[1]) for i, t in rows}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_weak_labels_equal_expectation_maximisation_row_by_row():
+    rng = random.Random(2)
+    rows = [[rng.choices((0, 1, 2), (2, 1 + 4 * bad, 5 - 4 * bad))[0] for _ in quality.LABELLERS] for bad in [k % 3 == 0 for k in range(300)]]
+    patterns = sorted({tuple(r) for r in rows})
+    counts = [sum(tuple(r) == p for r in rows) for p in patterns]
+    got, rates, prior = quality.weak_labels(np.array(patterns), np.array(counts, float))
+    post = [(r.count(2) + 1) / (r.count(2) + 3 * r.count(1) + 2) for r in rows]
+    for _ in range(100):
+        share = min(max(sum(post) / len(rows), 0.02), 0.98)
+        vote = {}
+        for k in range(len(quality.LABELLERS)):
+            for c in (0, 1):
+                mass = [1.0 + sum((p if c else 1 - p) for p, r in zip(post, rows) if r[k] == v) for v in (1, 2)]
+                vote[k, c] = {0: 1.0, 1: mass[0] / sum(mass), 2: mass[1] / sum(mass)}
+        new = []
+        for r in rows:
+            odds = math.log(share / (1 - share)) + sum(math.log(vote[k, 1][v] / vote[k, 0][v]) for k, v in enumerate(r))
+            new.append(1 / (1 + math.exp(-min(max(odds, -30), 30))))
+        done = max(abs(a - b) for a, b in zip(new, post)) < 1e-6
+        post = new
+        if done:
+            break
+    want = dict(zip(map(tuple, rows), post))
+    assert all(math.isclose(g, want[p], abs_tol=1e-9) for g, p in zip(got, patterns)) and math.isclose(prior, share, abs_tol=1e-9)
+
+
+def test_quality_scores_equal_the_linear_model_and_ties_are_kept(spark):
+    text = "The cat sat on the mat, and then it went to the house by the river."
+    df = spark.createDataFrame([(1, text, True), (1, text, True), (2, "ZZZ ### ###", False)], "doc_id long, text string, keep boolean")
+    weights = np.zeros(quality.DIMS + 1, np.float32)
+    got = quality.classify(df, weights=weights).collect()
+    # with no weights every score is one half: a score at the threshold stays
+    assert [r["score"] for r in got] == [0.5] * 3 and all(r["keep"] for r in got)
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=quality.DIMS + 1).astype(np.float32)
+    by_id = {r["doc_id"]: r["score"] for r in quality.classify(df, weights=weights).collect()}
+    import pyarrow as pa
+
+    for i, t in ((1, text), (2, "ZZZ ### ###")):
+        _, f = quality.measure(pa.array([t]))
+        assert math.isclose(by_id[i], 1 / (1 + math.exp(-(float(f[0] @ weights[:-1]) + float(weights[-1])))), rel_tol=1e-4)

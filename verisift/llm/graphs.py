@@ -53,6 +53,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = scratch.stored(_tidy(edges), "edges")
     mark = None
     for _ in range(max_rounds):
+        last = now
         least = now.select(F.col("a").alias("node"), F.col("b").alias("m")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("m"))).groupBy("node").agg(F.min("m").alias("m"))
         large = hot_join(now.withColumnRenamed("b", "node"), least, ["node"]).select("a", F.col("m").alias("b"))
         large = scratch.stored(_tidy(large), "edges")
@@ -60,6 +61,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         met = hot_join(large, low, ["a"])
         small = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         now = scratch.stored(_tidy(small), "edges")
+        # tables of earlier rounds are not read again
+        for old in (last, large):
+            scratch.forget(old)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == tuple(seen):
             break

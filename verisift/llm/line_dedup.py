@@ -17,12 +17,14 @@ that a third of all documents share spreads over all partitions.
 
 Defined results: a null or empty text is one empty line; rows with a null id own
 nothing and keep all lines; repeated rows with one id keep or lose the same lines;
-other columns stay untouched, but input columns named n_lines or n_dropped are replaced.
+ids may be of any type that has an order; other columns stay untouched, but input
+columns named n_lines or n_dropped are replaced.
 """
 
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,10 @@ from verisift.llm import scratch
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASH = ["h1", "h2"]
+#: Ids that batch borders are taken from.
+SAMPLE = 1000
+#: The setting by which Spark takes the order of sorted buckets into account.
+SORTED_RUNS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def split_lines(text: Column) -> Column:
@@ -73,12 +79,35 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """Add a batch of (id, h1, h2); its ids are above those of earlier batches."""
-        new = batch.groupBy(*HASH).agg(F.min("id").alias("id"))
-        for level in self.levels:
-            for run in level:
-                new = new.join(self.spark.table(run).select(*HASH), HASH, "left_anti")
-        self._write(new, 0)
-        self._compact()
+        with self._sorted_runs():
+            new = batch.groupBy(*HASH).agg(F.min("id").alias("id"))
+            for level in self.levels:
+                for run in level:
+                    # merged, as the run is sorted already
+                    new = new.join(self.spark.table(run).select(*HASH).hint("merge"), HASH, "left_anti")
+            self._write(new, 0)
+            self._compact()
+
+    @contextmanager
+    def _sorted_runs(self):
+        """Runs have one sorted file for each bucket; while they are merged, Spark may rely on it."""
+        before = self.spark.conf.get(SORTED_RUNS)
+        self.spark.conf.set(SORTED_RUNS, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(SORTED_RUNS, before)
+
+    def _drop(self, run: str) -> None:
+        path = self.spark.sql(f"DESCRIBE TABLE EXTENDED {run}").where("col_name = 'Location'").first()["data_type"]
+        self.spark.sql(f"DROP TABLE {run}")
+        scratch.remove(self.spark, path)
+
+    def drop(self) -> None:
+        """Removes all runs."""
+        for run in [run for level in self.levels for run in level]:
+            self._drop(run)
+        self.levels = []
 
     def _compact(self) -> None:
         for level, runs in enumerate(self.levels):
@@ -86,9 +115,7 @@ class LineRuns:
                 self.levels[level] = []
                 self._write(self._union(runs), level + 1)
                 for run in runs:
-                    path = self.spark.sql(f"DESCRIBE TABLE EXTENDED {run}").where("col_name = 'Location'").first()["data_type"]
-                    self.spark.sql(f"DROP TABLE {run}")
-                    scratch.remove(self.spark, path)
+                    self._drop(run)
 
     def _union(self, runs: list[str]) -> DataFrame:
         out = self.spark.table(runs[0])
@@ -105,7 +132,9 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     """df with text_col cut to the lines that stay, and n_lines (before) and n_dropped."""
     spark = df.sparkSession
     hashes = scratch.stored(line_hashes(df, id_col, text_col, min_chars), "line_hashes")
-    cuts = sorted(set(hashes.approxQuantile("id", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
+    # batches of about equal size: quantiles of a bounded sample of ids, of any type that has an order
+    ids = sorted(r["id"] for r in df.select(F.col(id_col).alias("id")).where("id is not null").orderBy(F.xxhash64("id")).limit(SAMPLE).collect())
+    cuts = sorted({ids[k * len(ids) // batches] for k in range(1, batches)}) if ids else []
     runs = LineRuns(spark)
     for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
         part = hashes
@@ -115,6 +144,9 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             part = part.where(F.col("id") <= hi)
         runs.add(part)
     lost = hashes.join(runs.owners(), [*HASH, "id"], "left_anti").groupBy("id", "doc").agg(F.collect_set("pos").alias("lost"))
+    lost = scratch.stored(lost, "lost_lines")
+    runs.drop()
+    scratch.forget(hashes)
     lost = lost.select(F.col("id").alias("_lost_id"), F.col("doc").alias("_lost_doc"), "lost")
     on = (F.col("_id") == F.col("_lost_id")) & (F.xxhash64("_text") == F.col("_lost_doc"))
     other = [c for c in df.columns if c not in (id_col, text_col, "n_lines", "n_dropped")]

@@ -1,36 +1,5 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that all executors share (see ``verisift.sources.folders``)."""
 
-from __future__ import annotations
+from verisift.sources.folders import forget, new_path, remove, shared_dir, stored
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where that is unset (single-machine tests) a new local one is set."""
-    context = spark.sparkContext
-    at = context.getCheckpointDir()
-    if at:
-        return at
-    named = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-")
-    context.setCheckpointDir(named)
-    return context.getCheckpointDir()
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: its lineage ends there and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+__all__ = ["forget", "new_path", "remove", "shared_dir", "stored"]
