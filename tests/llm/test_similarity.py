@@ -1,6 +1,7 @@
 """Embedding joins, neighbours, near-duplicates and components against brute force."""
 
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -261,3 +262,16 @@ def test_hot_join_splits_hot_keys(spark):
     right = spark.createDataFrame([(k, k * 10) for k in range(1, 50)], "k long, w long")
     got = graphs.hot_join(left, right, ["k"]).toPandas()
     assert len(got) == 3049 and (got[got.k < 999].w == got[got.k < 999].k * 10).all() and got[got.k == 999].w.isna().all()
+
+
+def test_pruning_loses_no_more_pairs_than_the_bands():
+    p, step = 0.8, ngram_join.STEP
+    alive, lost = {0: 1.0}, 0.0
+    for need in ngram_join.least_matches(p):
+        after = {}
+        for m, w in alive.items():
+            for k in range(step + 1):
+                after[m + k] = after.get(m + k, 0.0) + w * math.comb(step, k) * p**k * (1 - p) ** (step - k)
+        lost += sum(w for m, w in after.items() if m < need)
+        alive = {m: w for m, w in after.items() if m >= need}
+    assert lost <= (1 - p**ngram_join.ROWS) ** ngram_join.BANDS < 1e-7

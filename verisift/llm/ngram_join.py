@@ -12,7 +12,8 @@ remain are verified exactly on their shingles.
 
 A block pair returns, for each text with links, the number of linked documents and
 one edge of a spanning star; pairs are never emitted. With 32 bands of 4 values a
-pair of similarity 0.8 shares no bucket with probability 5e-8.
+pair of similarity 0.8 shares no bucket with probability 5e-8, and pruning drops it with
+probability 3e-8.
 
 Defined results: a null or blank text and a null id link with nothing; repeated
 rows are one text with a count; long texts are taken whole; other columns are ignored.
@@ -35,8 +36,8 @@ from verisift.llm.metric_join import star_edges
 #: Words in a shingle; bands and MinHash values in each; values compared at a time; texts in a block.
 WIDTH, BANDS, ROWS, STEP, BLOCK = 5, 32, 4, 16, 1024
 HASHES = BANDS * ROWS
-#: Pairs are dropped below this posterior probability of reaching the threshold.
-TOLERANCE = 1e-6
+#: Pairs are dropped below this posterior probability of reaching the threshold: so small that pruning loses fewer pairs than the bands.
+TOLERANCE = 3e-9
 MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64)
 MIX[1] |= np.uint64(1)
 #: Text bytes that are hashed together; the arrays take some forty times as much.
