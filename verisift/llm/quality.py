@@ -70,8 +70,8 @@ def _shares(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return part / np.maximum(whole, 1)
 
 
-def measure(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """STATS of each text, and its hashed features as a dense float32 matrix."""
+def measure(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """STATS of each text, and its hashed features as a dense float32 matrix; zeros where a text is not wanted."""
     n_docs = len(texts)
     data, offset = bpe.flat_bytes(texts)
     stats, features = np.zeros((n_docs, len(STATS))), np.zeros((n_docs, DIMS), np.float32)
@@ -109,7 +109,16 @@ def measure(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         [n, _shares(per_doc(shouted), n), _shares(np.diff(symbol[offset]), n_text), _shares(distinct, np.minimum(n, 2 * np.sqrt(np.maximum(n, 1)) * 10)), _shares(per_doc(again), n), _shares(per_doc(length), n), _shares(per_doc(length <= 3), n), _shares(np.diff(mark[offset]), n_text), _shares(per_doc(bare), n)],
         axis=1,
     )
-    table = np.array([_word_features(w) for w in words], np.int64)
+    if wanted is None:
+        wanted = np.ones(n_docs, bool)
+    elif not wanted.any():
+        return stats, features
+    else:
+        own = wanted[doc]
+        doc = doc[own]
+        known, codes = np.unique(codes[own], return_inverse=True)
+        words = [words[k] for k in known.tolist()]
+    table = np.array([_word_features(w) for w in words], np.int64).reshape(-1, 2)
     for k in range(2):
         h = table[codes, k]
         ok = h >= 0
@@ -120,7 +129,7 @@ def measure(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         scale = {"length": 1.0, "stops": 40.0, "symbol": 40.0}.get(name, 10.0)
         bucket = np.where(n >= 20, np.minimum(stats[:, k] * scale, 12).astype(int), -1)
         for b in np.unique(bucket):
-            features[bucket == b, zlib.crc32(f"{name}:{b}".encode()) % DIMS] += 0.5
+            features[wanted & (bucket == b), zlib.crc32(f"{name}:{b}".encode()) % DIMS] += 0.5
     return stats, features
 
 
@@ -180,9 +189,9 @@ def train(df: DataFrame, text_col: str = "text", n_docs: int = TRAIN_DOCS) -> np
         for batch in batches:
             for lo, hi in bpe.batch_slices(batch.column(0), SLICE_BYTES):
                 texts = batch.column(0).slice(lo, hi - lo)
-                stats, features = measure(texts)
+                chosen = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)
+                stats, features = measure(texts, chosen)
                 codes = votes(stats) @ (3 ** np.arange(len(LABELLERS)))
-                chosen = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 dense = [features[k].tobytes() if c and stats[k, 0] else None for k, c in enumerate(chosen)]
                 yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(dense, pa.binary()), pa.array(stats[:, 0] > 0)], ["pattern", "features", "any"])
         bpe.give_back()
