@@ -12,7 +12,10 @@ template with the largest cosine of all its passages, if that reaches ``threshol
 a passage that reaches ``FULL`` with a full text precedes all notices, as licences
 share paragraphs.
 
-A licence file covers its directory. A text without a licence of its own takes that
+A licence file covers its directory. It is known by its name or, with ``by_text`` (for
+texts that have no file names), by its text: one that reaches ``threshold`` as a whole,
+so that it holds little but a licence, or that opens with the title of a full licence.
+A text without a licence of its own takes that
 of the nearest ancestor directory with a licence file: distinct directories
 are joined with covered ones through their ancestor paths, and texts then join their
 directory. Passages and directories that very many texts share are hot keys of the
@@ -21,9 +24,9 @@ join, not groups in one task.
 All work is done by native expressions and joins.
 
 Defined results: a null or empty text has no licence of its own; a null path has no
-directory and inherits nothing; two licence files in one directory: the larger
-cosine counts, ties go to the earlier name; equal cosines go to the earlier
-template; every row gives one row, repeated rows included; further columns are left out.
+directory, covers and inherits nothing; two licence files in one directory: the larger
+cosine counts, ties go to the earlier name; equal cosines (of equal names) go to the
+earlier template; every row gives one row, repeated rows included; further columns are left out.
 """
 
 from __future__ import annotations
@@ -79,6 +82,8 @@ HINT = r"(?i)licen[sc]e|copyright|spdx|permission_is_hereby|redistribut|public_d
 #: Comment signs at the start and end of a line.
 SIGNS = r"(?m)^[ \t]*+(?:(?:/\*++|\*++/?|//++|#++|--++|;++|%++|<!--)[ \t]*+)?|[ \t\r]*+(?:\*++/|-->)?[ \t\r]*+$"
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense)([.\-_][^/]*)?$"
+#: A text that opens with the title of a full licence.
+TITLED = r"(?i)^[^a-z0-9]*+(?:" + "|".join(r"[^a-z0-9]++".join(re.findall(r"[a-z0-9]+", headers[0].lower())) for headers in HEADERS.values()) + r")(?![a-z0-9])"
 #: Least cosine for a licence, and for a text to be a full licence text.
 THRESHOLD, FULL = 0.6, 0.85
 
@@ -156,10 +161,16 @@ def hinting(passages: Column) -> Column:
     return F.filter(passages, lambda x: x.rlike(HINT))
 
 
+def bare(x: Column) -> Column:
+    return F.regexp_replace(x, SIGNS, "")
+
+
+def flat(x: Column) -> Column:
+    return F.trim(F.regexp_replace(x, r"\s++", " "))
+
+
 def passages_of(text: Column) -> Column:
     """The lines, blocks, paragraphs and runs of one to three sentences that hint at a licence."""
-    bare = lambda x: F.regexp_replace(x, SIGNS, "")
-    flat = lambda x: F.trim(F.regexp_replace(x, r"\s++", " "))
     blocks = F.transform(hinting(F.split(text, r"\r?\n[ \t\r]*+\n")), bare)
     paragraphs = F.transform(hinting(F.flatten(F.transform(blocks, lambda b: F.split(b, r"\n\s*\n")))), flat)
 
@@ -186,26 +197,34 @@ def normal(path: Column) -> Column:
     return F.array_join(F.filter(F.split(path, "/"), lambda p: p != ""), "/")
 
 
-def scan(df: DataFrame, id_col: str, path_col: str, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """id, license, score, origin (own, inherited, or null), license_path (the file a licence is inherited from)."""
+def scan(df: DataFrame, id_col: str, path_col: str, text_col: str = "text", threshold: float = THRESHOLD, by_text: bool = False) -> DataFrame:
+    """id, license, score, origin (own, inherited, or null), license_path (the file a licence is inherited from).
+
+    by_text takes licence texts for licence files too, whatever their names are.
+    """
     base = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), normal(F.col(path_col)).alias("path"), F.col(text_col).cast("string").alias("text"))
-    whole = F.coalesce(F.col("path").rlike(LICENSE_FILE), F.lit(False))
+    hints = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
+    named = F.coalesce(F.col("path").rlike(LICENSE_FILE), F.lit(False))
+    titled = F.when(hints, F.col("text").rlike(TITLED)).otherwise(False) if by_text else F.lit(False)
+    whole = (named | hints if by_text else named) & F.col("text").isNotNull()
     none = F.array().cast("array<string>")
-    parts = F.coalesce(F.when(F.col("text").rlike(HINT), passages_of(F.col("text"))), none)
-    passages = F.concat(F.when(whole & F.col("text").isNotNull(), F.array(F.col("text"))).otherwise(none), parts)
-    marked = base.select("row", "id", "path", whole.alias("file"), F.array_distinct(passages).alias("passages"))
+    parts = F.when(hints, passages_of(F.col("text"))).otherwise(none)
+    # a whole text is the first passage
+    passages = F.concat(F.when(whole, F.array(flat(bare(F.col("text"))))).otherwise(none), parts)
+    marked = base.select("row", "id", "path", (named | titled).alias("file"), whole.alias("whole"), F.array_distinct(passages).alias("passages"))
     marked = scratch.stored(marked, "license_passages")
-    each = marked.where(F.size("passages") > 0).select("row", F.explode("passages").alias("passage"))
-    each = each.select("row", F.xxhash64("passage").alias("h1"), F.xxhash64(F.lit(1), "passage").alias("h2"), "passage")
+    each = marked.where(F.size("passages") > 0).select("row", "whole", F.posexplode("passages").alias("place", "passage"))
+    each = each.select("row", (F.col("whole") & (F.col("place") == 0)).alias("whole"), F.xxhash64("passage").alias("h1"), F.xxhash64(F.lit(1), "passage").alias("h2"), "passage")
     distinct = each.groupBy("h1", "h2").agg(F.first("passage").alias("passage"))
     known = scratch.stored(match_passages(distinct).where(decode(F.col("match"))["score"] >= threshold), "license_matches")
-    met = graphs.hot_join(scratch.stored(each.select("row", "h1", "h2"), "license_rows"), known, ["h1", "h2"]).where(F.col("match").isNotNull())
-    own = met.groupBy("row").agg(F.max("match").alias("match")).select("row", decode(F.col("match")).alias("own"))
+    met = graphs.hot_join(scratch.stored(each.select("row", "whole", "h1", "h2"), "license_rows"), known, ["h1", "h2"]).where(F.col("match").isNotNull())
+    own = met.groupBy("row").agg(F.max("match").alias("match"), F.max("whole").alias("is_text")).select("row", decode(F.col("match")).alias("own"), "is_text")
     rows = marked.where(F.size("passages") > 0).select("row", "id", "path", "file").join(own, "row", "left")
+    rows = rows.withColumn("file", F.col("file") | F.coalesce("is_text", F.lit(False))).drop("is_text")
     rows = rows.unionByName(marked.where(F.size("passages") == 0).select("row", "id", "path", "file", F.lit(None).cast(own.schema["own"].dataType).alias("own")))
     rows = scratch.stored(rows.withColumn("dir", directory(F.col("path"))), "license_own")
 
-    covers = rows.where(F.col("file") & F.col("own").isNotNull()).groupBy(F.col("dir").alias("cover")).agg(F.min_by(F.struct(F.col("own.license").alias("license"), F.col("own.score").alias("score"), F.col("path").alias("license_path")), F.struct(-F.col("own.score"), F.col("path"))).alias("given"))
+    covers = rows.where(F.col("file") & F.col("own").isNotNull() & F.col("dir").isNotNull()).groupBy(F.col("dir").alias("cover")).agg(F.min_by(F.struct(F.col("own.license").alias("license"), F.col("own.score").alias("score"), F.col("path").alias("license_path")), F.struct(-F.col("own.score"), F.col("path"), F.array_position(F.lit(ORDER), F.col("own.license")))).alias("given"))
     wanting = rows.where(F.col("own").isNull() & F.col("dir").isNotNull()).select("dir").distinct()
     up = wanting.select("dir", F.posexplode(ancestors(F.col("dir"))).alias("depth", "cover"))
     up = scratch.stored(up, "license_up")

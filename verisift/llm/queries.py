@@ -61,8 +61,11 @@ FROM marked GROUP BY doc_id
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"))
-    return licenses.scan(docs, "doc_id", "path")
+    # documents have no file names, so licence files are known by their texts; without a source there is no directory
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    path = F.when(F.trim("source") != "", F.concat_ws("/", "source", "lang", name))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    return licenses.scan(docs, "doc_id", "path", by_text=True)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
