@@ -66,3 +66,8 @@ def test_capital_words_of_long_texts():
     least = {"capital_relation": "at least"}
     id_ = "change_case:capital_word_frequency"
     in_seconds(10, (id_, ONE_PIECE * 800, least | {"capital_frequency": 1600}, True), (id_, ONE_PIECE * 800, least | {"capital_frequency": 1601}, False))
+
+
+def test_unique_words_of_long_texts():
+    x = " ".join(f"one{i} two{i} three{i} four{i} five{i}." for i in range(800))
+    in_seconds(10, ("count:count_unique", x, {}, True), ("count:count_unique", x + " one7 ", {}, False))
