@@ -71,3 +71,8 @@ def test_capital_words_of_long_texts():
 def test_unique_words_of_long_texts():
     x = " ".join(f"one{i} two{i} three{i} four{i} five{i}." for i in range(800))
     in_seconds(10, ("count:count_unique", x, {}, True), ("count:count_unique", x + " one7 ", {}, False))
+
+
+def test_first_and_last_word_of_long_texts():
+    x = "echo " + ONE_PIECE * 800
+    in_seconds(10, ("keywords:start_end", x + "echo", {}, True), ("keywords:start_end", x + "echo.", {}, False))
